@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from linkspan.llm.bpe import encode_corpus
 from linkspan.llm.ids import canonical_id
 from linkspan.llm.mixing import mix_sources
+from linkspan.llm.places_match import prepared, same_places
 from linkspan.llm.splits import assign_rows, components, split_components
 from linkspan.llm.terms import marked, term_frequencies
 from linkspan.llm.topn import top_n
@@ -51,6 +52,19 @@ def p5_rows(spark, d):
     return assign_rows(pairs, canonical_id(F.col("source1_entity_id")), _splits(spark, d), SHARES, "candidate_entity_id")
 
 
+def _addresses(spark, d, name):
+    return records(spark, d, name).select(F.col("entity_id").alias("id"), "business_address")
+
+
+def p7_found(spark, d):
+    pairs = same_places(_addresses(spark, d, "test_source1"), _addresses(spark, d, "test_source3"))
+    return pairs.select(F.col("l_id").alias("source1_entity_id"), F.col("r_id").alias("source3_entity_id"))
+
+
+def p7_rewrites(spark, d):
+    return prepared(_addresses(spark, d, "test_source1"), _addresses(spark, d, "test_source3"))[2]
+
+
 def p8_ids(spark, d):
     return encode_corpus(table(spark, d, "documents"))
 
@@ -70,6 +84,8 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_splits": p5_splits,
     "p5_rows": p5_rows,
+    "p7_found": p7_found,
+    "p7_rewrites": p7_rewrites,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_report": p9_report,
