@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from linkspan.llm.bpe import encode_corpus
 from linkspan.llm.ids import canonical_id
+from linkspan.llm.linkage import link
 from linkspan.llm.mixing import mix_sources
 from linkspan.llm.places_match import prepared, same_places
 from linkspan.llm.splits import assign_rows, components, split_components
@@ -34,6 +35,16 @@ def p3_ngrams(spark, d):
     return _terms(spark, d).select("field", "n", "term", "occurrences", "records", "mark")
 
 
+def p4_matches(spark, d):
+    left = records(spark, d, "test_source1").withColumnRenamed("entity_id", "id")
+    right = records(spark, d, "test_source2").unionByName(records(spark, d, "test_source3")).withColumnRenamed("entity_id", "id")
+    return link(left, right).select(F.col("l_id").alias("source1_entity_id"), F.col("r_id").alias("candidate_entity_id"), "confidence")
+
+
+def p4_found(spark, d):
+    return p4_matches(spark, d).drop("confidence")
+
+
 def _splits(spark, d):
     comps = components(table(spark, d, "candidate_pairs"), canonical_id(F.col("source1_entity_id")), "source1_entity_id", F.col("fired_chan_a") == 1)
     return split_components(comps, SHARES)
@@ -81,6 +92,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_ngrams": p3_ngrams,
+    "p4_found": p4_found,
+    "p4_matches": p4_matches,
     "p5_found": p5_found,
     "p5_splits": p5_splits,
     "p5_rows": p5_rows,
