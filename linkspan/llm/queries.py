@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkspan.llm.bpe import encode_corpus
+from linkspan.llm.encoding import repairs
 from linkspan.llm.ids import canonical_id
 from linkspan.llm.linkage import link
 from linkspan.llm.mixing import mix_sources
@@ -17,6 +18,14 @@ from linkspan.sources.tables import records, table
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
+def p1_repairs(spark, d):
+    return repairs(records(spark, d, "test_source2"), "entity_id", ["business_name", "business_address"])
+
+
+def p1_found(spark, d):
+    return p1_repairs(spark, d).select("entity_id", "field")
+
+
 def p2_found(spark, d):
     pairs = table(spark, d, "candidate_pairs").select(canonical_id(F.col("source1_entity_id")).alias("source1_entity_id"), "candidate_entity_id", "total_priority")
     return top_n(pairs, "source1_entity_id", "candidate_entity_id", "total_priority", 10).select("source1_entity_id", "candidate_entity_id")
@@ -89,6 +98,8 @@ def p9_report(spark, d):
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_repairs": p1_repairs,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_ngrams": p3_ngrams,
