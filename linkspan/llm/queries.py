@@ -10,6 +10,7 @@ from linkspan.llm.ids import canonical_id
 from linkspan.llm.linkage import link
 from linkspan.llm.mixing import mix_sources
 from linkspan.llm.places_match import prepared, same_places
+from linkspan.llm.residue import residue
 from linkspan.llm.splits import assign_rows, components, split_components
 from linkspan.llm.terms import marked, term_frequencies
 from linkspan.llm.topn import top_n
@@ -97,6 +98,19 @@ def p9_report(spark, d):
     return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).report()
 
 
+def p10_reasons(spark, d):
+    return residue(table(spark, d, "documents"))
+
+
+def p10_found(spark, d):
+    return p10_reasons(spark, d).select("doc_id")
+
+
+def p10_kept(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return docs.join(p10_found(spark, d), "doc_id", "left_anti")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_repairs": p1_repairs,
@@ -113,6 +127,9 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_report": p9_report,
+    "p10_found": p10_found,
+    "p10_reasons": p10_reasons,
+    "p10_kept": p10_kept,
 }
 
 #: The number follows the prefix, which may stand without a separator: the prefix goes first.
