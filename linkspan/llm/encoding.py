@@ -124,6 +124,26 @@ def restorations(text: str) -> list[tuple[int, str]]:
     return [(k, y) for y, k in out.items() if _plausible(y) or CHAINS[k].startswith("utf8>")]
 
 
+def shortest(text: str) -> str:
+    """The shortest plausible text that comes of undoing UTF-8 read as one of SINGLE; the text itself if none is shorter.
+
+    A quick guess for operators that normalise values one by one; repairs() weighs the evidence of all records.
+    """
+    if text.isascii() or not any("\x80" <= c < "\u2600" and not "\u0370" <= c < "\u1e00" or "\u0400" <= c < "\u0460" for c in text):
+        return text
+    best = text
+    for w in SINGLE:
+        x = text
+        for _ in range(DEPTH):
+            y = unread(x, w)
+            if y == x:
+                break
+            if len(y) < len(best) and _plausible(y):
+                best = y
+            x = y
+    return best
+
+
 @lru_cache(maxsize=100_000)
 def _class(ch: str) -> str:
     if ch < "\x80":

@@ -114,10 +114,10 @@ class Mixture:
         used = sizes.groupBy("source").agg(
             F.count("*").alias("documents"), F.sum("copies").alias("copies"), F.max("copies").alias("most_copies"), F.sum("n_tokens").alias("source_tokens"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"),
         )
-        total = used.agg(F.sum("tokens").alias("all_tokens"))
-        out = spark.createDataFrame(rows, kind).join(used, "source", "left").crossJoin(F.broadcast(total))
-        out = out.withColumn("actual_share", F.coalesce(F.col("tokens") / F.nullif("all_tokens", F.lit(0)), F.lit(0.0)))
-        return out.drop("all_tokens").fillna(0, ["documents", "copies", "most_copies", "source_tokens", "tokens"])
+        total = float(used.agg(F.sum("tokens")).first()[0] or 1)
+        out = spark.createDataFrame(rows, kind).join(used, "source", "left")
+        out = out.withColumn("actual_share", F.coalesce(F.col("tokens") / F.lit(total), F.lit(0.0)))
+        return out.fillna(0, ["documents", "copies", "most_copies", "source_tokens", "tokens"])
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame, **options) -> Mixture:

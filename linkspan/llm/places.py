@@ -7,6 +7,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from linkspan.llm.encoding import shortest
 from linkspan.llm.romanize import fold, skeleton
 
 # Words that address lines use around the street name, in their full forms. Abbreviations are
@@ -45,6 +46,7 @@ def parse(text: str | None) -> dict | None:
     """
     if text is None or not text.strip():
         return None
+    text = shortest(text)
     native = {fold(w) for w in _INDIC.findall(text)} if not text.isascii() else set()
     t = fold(text).replace("’", "'").replace("\xa0", " ")
     box = _BOX.search(t)

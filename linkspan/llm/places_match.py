@@ -14,22 +14,25 @@ _LONG = "filter(array_distinct(concat(name, rest)), w -> length(w) >= 3)"
 
 
 def left_keys(df: DataFrame) -> DataFrame:
-    """(id, k): keys of the reference side: number with code, and number with a street and a town word, one of the two cut short."""
+    """(rid, k): keys of the reference side: number with code, and number with a street and a town word, one of the two cut short."""
     words = "flatten(transform(name, n -> flatten(transform(filter(town, w -> length(w) >= 3), t -> array(concat(num, '/', n, '/', left(t, 3)), concat(num, '/', t, '/', left(n, 3)))))))"
     keys = F.concat(F.array(F.concat("num", F.lit("#"), "code")), F.expr(words))
     return _exploded(df, keys)
 
 
 def right_keys(df: DataFrame) -> DataFrame:
-    """(id, k): the same keys where street and town words can't be told apart: every ordered pair of words."""
-    pairs = f"flatten(transform({_LONG}, a -> transform(filter({_LONG}, b -> b <> a), b -> concat(num, '/', a, '/', left(b, 3)))))"
-    keys = F.concat(F.array(F.concat("num", F.lit("#"), "code")), F.expr(pairs))
+    """(rid, k): the same keys; every ordered pair of words, unless a type word tells the street name from the rest."""
+    cross = lambda x, y: f"flatten(transform({x}, a -> transform(filter({y}, b -> b <> a), b -> concat(num, '/', a, '/', left(b, 3)))))"
+    name, rest = ("filter(" + c + ", w -> length(w) >= 3)" for c in ("name", "rest"))
+    told = F.expr(f"concat({cross(name, rest)}, {cross(rest, name)})")
+    pairs = F.when(F.col("type").isNotNull() & (F.size("name") == 1) & (F.size("rest") > 0), told).otherwise(F.expr(cross(_LONG, _LONG)))
+    keys = F.concat(F.array(F.concat("num", F.lit("#"), "code")), pairs)
     return _exploded(df, keys)
 
 
 def _exploded(df: DataFrame, keys: Column) -> DataFrame:
     keys = F.filter(keys, lambda k: k.isNotNull())
-    return df.where("num is not null").select("id", F.explode(F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k)))).alias("k"))
+    return df.where("num is not null").select("rid", F.explode(F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k)))).alias("k"))
 
 
 def alike(a: str, b: str) -> str:
@@ -55,20 +58,21 @@ def compared(pairs: DataFrame) -> DataFrame:
     )
 
 
-def sided(df: DataFrame, side: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in ("id", "num", "code", "words", "type", "dir", "dirs", "name", "rest", "town", "types", "native", "skeletons")])
+def sided(df: DataFrame, side: str, extra: list[str] = []) -> DataFrame:  # noqa: B006
+    """df with the columns of a comparison, named for its side."""
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in (*extra, "rid", "num", "code", "words", "type", "dir", "dirs", "name", "rest", "town", "types", "native", "skeletons")])
 
 
 def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(l_id, r_id): distinct pairs that share a key."""
-    lk, rk = left_keys(left).select(F.col("id").alias("l_id"), "k"), right_keys(right).select(F.col("id").alias("r_id"), "k")
-    return lk.join(rk, "k").select("l_id", "r_id").distinct()
+    """(l_rid, r_rid): pairs that share a key, once for each."""
+    lk, rk = left_keys(left).withColumnRenamed("rid", "l_rid"), right_keys(right).withColumnRenamed("rid", "r_rid")
+    return lk.join(rk, "k").select("l_rid", "r_rid")
 
 
 def prepared(left: DataFrame, right: DataFrame, address: str = "business_address") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Streets of both tables (columns id and address) after all rewrites, and the rewrites."""
-    l, r, rules = normalised(parsed(left, "id", address), parsed(right, "id", address), "id")
-    return durable(streets(l, "id")), durable(streets(r, "id")), rules
+    """Streets of both tables (columns id and address) after all rewrites, and the rewrites. rid numbers the rows of a side."""
+    l, r, rules = normalised(durable(parsed(left, "id", address)), durable(parsed(right, "id", address)))
+    return tuple(durable(streets(x, "id").withColumn("rid", F.monotonically_increasing_id())) for x in (l, r)) + (rules,)
 
 
 def same_places(left: DataFrame, right: DataFrame, address: str = "business_address") -> DataFrame:
@@ -85,6 +89,13 @@ def same_places(left: DataFrame, right: DataFrame, address: str = "business_addr
     """
     l, r, _ = prepared(left, right, address)
     l = l.where("num is not null and size(name) > 0")  # noqa: E741
-    pairs = candidates(l, r).join(sided(l, "l"), "l_id").join(sided(r, "r"), "r_id").where("l_num = r_num")
+    pairs = candidates(l, r).distinct().join(sided(l, "l"), "l_rid").join(sided(r, "r"), "r_rid").where("l_num = r_num")
     met = compared(pairs).where("street_ok and coalesce(type_ok, true) and coalesce(dir_ok, true)")
-    return met.where("coalesce(code_ok, town_ok, false) and (code_ok is null or code_ok)").select("l_id", "r_id")
+    met = met.where("coalesce(code_ok, town_ok, false) and (code_ok is null or code_ok)").select("l_rid", "r_rid")
+    return named(met, l, r)
+
+
+def named(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """pairs with the ids of their rows in place of the numbers."""
+    l, r = (x.select(F.col("rid").alias(f"{s}_rid"), F.col("id").alias(f"{s}_id")) for x, s in ((left, "l"), (right, "r")))  # noqa: E741
+    return pairs.join(l, "l_rid").join(r, "r_rid").drop("l_rid", "r_rid")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,8 +15,8 @@ from linkspan.plans.durable import durable
 #: Least likelihood ratio (G squared; 15.1 is p < 0.0001) and least support of a rewrite.
 G2 = 15.1
 SUPPORT = 3
-#: Most rewrites put into one map column; beyond it words meet them in a join.
-IN_MAP = 20_000
+#: Most rewrites that go to every task; beyond it words meet them in a join.
+IN_MAP = 200_000
 
 
 def _related(a: str, b: str) -> str:
@@ -23,16 +26,21 @@ def _related(a: str, b: str) -> str:
     return f"({short} or {slip})"
 
 
-def aligned(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b, n): how often word a of a left address faces word b of a right one that agrees elsewhere.
+def facing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): the words that two addresses don't share, for each pair that agrees elsewhere.
 
-    Addresses agree elsewhere when number and postal code are equal, a word of four letters or more is shared, and at
-    most three words are left over on either side. Distinct writings of a place are compared, not records.
+    Addresses agree elsewhere when number and postal code are equal and a word of four letters or more is
+    shared. Distinct writings of a place are compared, not records.
     """
     short = lambda df, w: df.where("num is not null and code is not null and size(words) > 0").select("num", "code", F.array_sort(F.array_distinct("words")).alias(w)).distinct()
     pairs = short(left, "lw").join(short(right, "rw"), ["num", "code"])
-    pairs = pairs.select("num", "code", F.array_except("lw", "rw").alias("a"), F.array_except("rw", "lw").alias("b"), F.expr("exists(array_intersect(lw, rw), w -> length(w) >= 4)").alias("same"))
-    pairs = pairs.where("same and size(a) between 1 and 3 and size(b) between 1 and 3")
+    pairs = pairs.where("exists(array_intersect(lw, rw), w -> length(w) >= 4)").select(F.array_except("lw", "rw").alias("a"), F.array_except("rw", "lw").alias("b"))
+    return pairs.where("size(a) between 1 and 6 and size(b) between 1 and 6")
+
+
+def aligned(pairs: DataFrame) -> DataFrame:
+    """(a, b, n): how often word a of a left address faces word b of a right one, at most three words being left over on either side."""
+    pairs = pairs.where("size(a) between 1 and 3 and size(b) between 1 and 3")
     return pairs.select(F.explode("a").alias("a"), "b").select("a", F.explode("b").alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
@@ -64,46 +72,65 @@ def significant(counts: DataFrame, frequency: DataFrame) -> DataFrame:
     return both.withColumn("k", best).where("k = 1").select("src", "dst")
 
 
-def rewrite(df: DataFrame, key: str, rules: DataFrame) -> DataFrame:
-    """df with every word that has a rule replaced. Few rules ride in one map; many meet the words in a join."""
-    n = rules.count()
-    if n == 0:
+def rewrite(df: DataFrame, rules: DataFrame | None, columns: list[str]) -> DataFrame:
+    """df with every word that has a rule replaced, in each of the array columns.
+
+    Up to IN_MAP rules go to every task; more of them meet the words in a join.
+    """
+    if rules is None:
         return df
-    if n <= IN_MAP:
+    if rules.count() <= IN_MAP:
         table = {r["src"]: r["dst"] for r in rules.collect()}
-        known = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
-        one = df.sparkSession.range(1).select(known.alias("_rules"))
-        return df.crossJoin(F.broadcast(one)).withColumn("words", F.expr("transform(words, w -> coalesce(try_element_at(_rules, w), w))")).drop("_rules")
-    words = df.select(key, F.posexplode("words").alias("pos", "src")).join(rules, "src", "left")
-    again = words.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("dst", "src").alias("w")))).alias("l")).select(key, F.expr("transform(l, x -> x.w)").alias("_words"))
-    return df.join(again, key, "left").withColumn("words", F.coalesce("_words", "words")).drop("_words")
-
 
-def normalised(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        def run(batches):
+            for b in batches:
+                arrays = list(b.columns)
+                for c in columns:
+                    i = b.schema.get_field_index(c)
+                    col = arrays[i].combine_chunks() if isinstance(arrays[i], pa.ChunkedArray) else arrays[i]
+                    words = pa.array([table.get(w, w) for w in col.flatten().to_pylist()], pa.string())
+                    sizes = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(col), 0)))]).astype(np.int32)
+                    arrays[i] = pa.ListArray.from_arrays(pa.array(sizes), words)
+                yield pa.RecordBatch.from_arrays(arrays, names=b.schema.names)
+
+        return df.mapInArrow(run, df.schema)
+    df = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+    for c in columns:
+        words = df.select("_row", F.posexplode(c).alias("pos", "src")).join(rules.select("src", "dst"), "src", "left")
+        again = words.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("dst", "src").alias("w")))).alias("l")).select("_row", F.expr("transform(l, x -> x.w)").alias("_words"))
+        df = df.join(again, "_row", "left").withColumn(c, F.coalesce("_words", c)).drop("_words")
+    return df.drop("_row")
+
+
+def normalised(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Both tables of parsed addresses with words in full form, and the rules (round, src, dst) applied.
 
     Each round mines rewrites from what the addresses look like by then, applies them, and compares again;
     it ends when no new rewrite appears. A word is never given a second rule, so the rounds end.
     """
     spark = left.sparkSession
-    left, right = durable(left), durable(right)
-    rules = None
-    turn = 0
+    words = left.select(F.explode("words").alias("word")).unionAll(right.select(F.explode("words").alias("word")))
+    frequency = durable(words.groupBy("word").agg(F.count("*").alias("f")).where(F.col("f") >= SUPPORT))
+    pairs = durable(facing(left, right))
+    rules, turn = None, 0
     while True:
         turn += 1
-        words = left.select(F.explode("words").alias("word")).unionAll(right.select(F.explode("words").alias("word")))
-        found = significant(durable(aligned(left, right)), words.groupBy("word").agg(F.count("*").alias("f")))
+        now = pairs if rules is None else rewrite(pairs, rules, ["a", "b"]).select(F.array_except("a", "b").alias("a"), F.array_except("b", "a").alias("b"))
+        found = significant(durable(aligned(now)), frequency)
         if rules is not None:
             found = found.join(rules.select("src"), "src", "left_anti")
         found = durable(found.withColumn("round", F.lit(turn)).select("round", "src", "dst"))
         if not found.take(1):
             break
         # A rule whose full form has a rule itself in this round waits for the next.
-        step = durable(found.join(found.select(F.col("src").alias("dst")), "dst", "left_anti").select("round", "src", "dst"))
+        step = found.join(found.select(F.col("src").alias("dst")), "dst", "left_anti").select("round", "src", "dst")
         if not step.take(1):
             step = found.orderBy("src").limit(1)
-        left, right = durable(rewrite(left, key, step)), durable(rewrite(right, key, step))
-        rules = step if rules is None else durable(rules.unionByName(step))
+        if rules is None:
+            rules = durable(step)
+        else:  # earlier rules lead on to the new full forms
+            onward = step.select(F.col("src").alias("dst"), F.col("dst").alias("_to"))
+            rules = durable(rules.join(onward, "dst", "left").select("round", "src", F.coalesce("_to", "dst").alias("dst")).unionByName(step))
     if rules is None:
         rules = spark.createDataFrame([], "round int, src string, dst string")
-    return left, right, rules
+    return rewrite(left, rules, ["words"]), rewrite(right, rules, ["words"]), rules
