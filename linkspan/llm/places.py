@@ -142,33 +142,45 @@ def classify(words: list[str], segs: list[int], at: int) -> dict:
     }
 
 
+_KINDS = {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32())}
 PARSED = "num string, code string, words array<string>, segs array<int>, at int, native array<string>"
 STREET = "type string, dir string, dirs array<string>, name array<string>, rest array<string>, town array<string>, types array<string>, skeletons array<string>"
 
 
-def parsed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, num, code, words, segs, at) of each row's address; rows without an address have nulls and no words."""
+def parsed(df: DataFrame, key: str, text: str, keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """(key, num, code, words, segs, at, native) of each row's address, and the columns of `keep`; no words without an address."""
+    fields = [(x.split(" ")[0], _KINDS[x.split(" ")[1]]) for x in PARSED.split(", ")]
+    nothing = {"num": None, "code": None, "words": [], "segs": [], "at": -1, "native": []}
 
     def run(batches):
         for b in batches:
-            got = [parse(x) or {"num": None, "code": None, "words": [], "segs": [], "at": -1, "native": []} for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([g["num"] for g in got], pa.string()), pa.array([g["code"] for g in got], pa.string()), pa.array([g["words"] for g in got], pa.list_(pa.string())), pa.array([g["segs"] for g in got], pa.list_(pa.int32())), pa.array([g["at"] for g in got], pa.int32()), pa.array([g["native"] for g in got], pa.list_(pa.string()))],
-                names=[key, "num", "code", "words", "segs", "at", "native"],
-            )
+            got = [parse(x) or nothing for x in b.column(1).to_pylist()]
+            arrays = [pa.array([g[n] for g in got], k) for n, k in fields]
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *arrays], names=[key, *keep, *[n for n, _ in fields]])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` string, {PARSED}")
+    kept = "".join(f"`{c}` string, " for c in keep)
+    return df.select(key, text, *keep).mapInArrow(run, f"`{key}` string, {kept}{PARSED}")
 
 
-def streets(df: DataFrame, key: str) -> DataFrame:
-    """(key, num, code, words, native, type, dir, dirs, name, rest, town, types, skeletons) from parsed rows with rewritten words."""
-    names = [x.split(" ")[0] for x in STREET.split(", ")]
-    kinds = [pa.string() if x.endswith(" string") else pa.list_(pa.string()) for x in STREET.split(", ")]
+def streets(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """(key, num, code, words, native) and the fields of STREET from parsed rows with rewritten words.
+
+    With the column `name`, the fields of names.NAME as well.
+    """
+    from linkspan.llm import names as N
+
+    fields = [(x.split(" ")[0], _KINDS[x.split(" ")[1]]) for x in STREET.split(", ")]
+    more = [(x.split(" ")[0], _KINDS[x.split(" ")[1]]) for x in N.NAME.split(", ")] if name else []
 
     def run(batches):
         for b in batches:
             got = [classify(*x) for x in zip(*(b.column(c).to_pylist() for c in ("words", "segs", "at")))]
-            fields = [pa.array([g[n] for g in got], k) for n, k in zip(names, kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in (key, "num", "code", "words", "native")] + fields, names=[key, "num", "code", "words", "native", *names])
-
-    return df.select(key, "num", "code", "words", "native", "segs", "at").mapInArrow(run, f"`{key}` string, num string, code string, words array<string>, native array<string>, {STREET}")
+            arrays = [pa.array([g[n] for g in got], k) for n, k in fields]
+            if more:
+                found = [N.fields(x) for x in b.column(name).to_pylist()]
+                arrays += [pa.array([g[n] for g in found], k) for n, k in more]
+            kept = [key, "num", "code", "words", "native"]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + arrays, names=[*kept, *[n for n, _ in fields + more]])
+
+    schema = f"`{key}` string, num string, code string, words array<string>, native array<string>, {STREET}" + (f", {N.NAME}" if more else "")
+    return df.select(key, "num", "code", "words", "native", "segs", "at", *([name] if name else [])).mapInArrow(run, schema)

@@ -69,10 +69,14 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return lk.join(rk, "k").select("l_rid", "r_rid")
 
 
-def prepared(left: DataFrame, right: DataFrame, address: str = "business_address") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Streets of both tables (columns id and address) after all rewrites, and the rewrites. rid numbers the rows of a side."""
-    l, r, rules = normalised(durable(parsed(left, "id", address)), durable(parsed(right, "id", address)))
-    return tuple(durable(streets(x, "id").withColumn("rid", F.monotonically_increasing_id())) for x in (l, r)) + (rules,)
+def prepared(left: DataFrame, right: DataFrame, address: str = "business_address", name: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Streets of both tables (columns id and address) after all rewrites, and the rewrites. rid numbers the rows of a side.
+
+    With the column `name`, name fields as well.
+    """
+    keep = [name] if name else []
+    l, r, rules = normalised(durable(parsed(left, "id", address, keep)), durable(parsed(right, "id", address, keep)))
+    return tuple(durable(streets(x, "id", name).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r)) + (rules,)
 
 
 def same_places(left: DataFrame, right: DataFrame, address: str = "business_address") -> DataFrame:

@@ -64,7 +64,7 @@ def fold(text: str) -> str:
     if not text.isascii():
         text = romanize(unicodedata.normalize("NFC", text))
         text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("ø", "o").replace("Ø", "o").replace("æ", "ae").replace("Æ", "ae").replace("œ", "oe"))
-        text = "".join(c for c in text if not unicodedata.combining(c) and c not in "​‌‍﻿")
+        text = "".join(c for c in text if not unicodedata.combining(c) and c not in "\u200b\u200c\u200d\ufeff")
     return text.lower()
 
 
