@@ -6,15 +6,16 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode NFKC; null stays null."""
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ascii_only(s: pd.Series) -> pd.Series:
     """NFKD without what isn't ASCII; null stays null."""
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
@@ -53,6 +54,6 @@ def jaro_winkler_pair(a: str, b: str) -> float:
     return sim
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler_pair(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkspan.operators.blocking import ADDRESS_STOPWORDS, CHANNELS, Blocking, candidate_tokens, channel_pairs, generate_candidates, keyed, rare_tokens
+from linkspan.functions import regexes as R
+from linkspan.functions import text as T
+from linkspan.functions.normalise import normalise_records
+from linkspan.operators.features import CHANNEL_FLAGS, GROUPS, attach_labels, feature_catalog, pair_features, provenance, split_groups
+from linkspan.operators.metrics import confusion, entity_metrics, evaluate, macro_by_group, ranking
+from linkspan.operators.model import MatchModel
+from linkspan.operators.resolve import affinity, resolve
+from linkspan.operators.validate import findings, outside
 from linkspan.plans import blocking_sql
-from linkspan.sources.tables import records
+from linkspan.plans.durable import durable
+from linkspan.sources import tsv
+from linkspan.sources.tables import records, table
 
 CAP = 150
 
@@ -80,3 +90,283 @@ SQL = {f"chan_{c}": f"{blocking_sql.BASE} {blocking_sql.channel(c, CAP)}" for c
     "candidates_cap5": blocking_sql.candidates(5),
     "channel_coverage": f"WITH r AS ({blocking_sql.candidates(CAP)}), f AS ({_FLAGS}) SELECT channel, count(*) AS pairs, count(DISTINCT s) AS s1_records, count(DISTINCT c) AS candidates FROM f GROUP BY 1",
 }
+
+
+# --- lists, exports and pruning -----------------------------------------------------------------------------
+
+
+def _pairs(spark, d):
+    """The stored candidate pairs, each once."""
+    return table(spark, d, "candidate_pairs").select("source1_entity_id", "candidate_entity_id").where("source1_entity_id is not null and candidate_entity_id is not null").distinct()
+
+
+def _truth(spark, d):
+    return table(spark, d, "match_labels").where("match_label = 1").select("source1_entity_id", "candidate_entity_id").distinct()
+
+
+def export_pairs_validated(spark, d):
+    return tsv.valid_pairs(_pairs(spark, d), records(spark, d, "test_source1"), pool(spark, d))
+
+
+def export_lists(spark, d):
+    return tsv.as_lists(_pairs(spark, d), records(spark, d, "test_source1"), "candidate_entity_ids")
+
+
+def reload_lists(spark, d):
+    return tsv.from_lists(export_lists(spark, d).withColumnRenamed("candidate_entity_ids", "ids"))
+
+
+def pool_semi(spark, d):
+    return tsv.pruned(pool(spark, d), _pairs(spark, d))
+
+
+# --- features -----------------------------------------------------------------------------------------------
+
+
+def features_all(spark, d):
+    pairs = generate_candidates(records(spark, d, "test_source1"), pool(spark, d), Blocking(cap=CAP))
+    return pair_features(pairs, records(spark, d, "test_source1"), pool(spark, d))
+
+
+def _group(*groups):
+    def query(spark, d):
+        x = pair_features(_pairs(spark, d), records(spark, d, "test_source1"), pool(spark, d))
+        return x.select("source1_entity_id", "candidate_entity_id", *[c for g in groups for c in GROUPS[g]])
+
+    return query
+
+
+def feat_country(spark, d):
+    return _group("country")(spark, d)
+
+
+def feat_provenance(spark, d):
+    pairs = table(spark, d, "candidate_pairs")
+    return pairs.select("source1_entity_id", "candidate_entity_id", *[c.alias(n) for n, c in provenance(pairs.columns).items()])
+
+
+def feat_source(spark, d):
+    x = _group("source")(spark, d)
+    return x.select("source1_entity_id", "candidate_entity_id", "candidate_is_source2", "candidate_is_source3")
+
+
+def labels_attach(spark, d):
+    return attach_labels(_pairs(spark, d), _truth(spark, d))
+
+
+def split_group_sizes(spark, d):
+    """Distinct S1 records in either part of the grouped split."""
+    return split_groups(_pairs(spark, d)).groupBy("split_group").agg(F.countDistinct("source1_entity_id").alias("s1_records"))
+
+
+# --- text ---------------------------------------------------------------------------------------------------
+
+
+def _texts(spark, d):
+    return pool(spark, d).unionByName(records(spark, d, "test_source1"))
+
+
+def numeric_tokens(spark, d):
+    return _texts(spark, d).where("business_address is not null").select("entity_id", F.array_join(F.array_sort(T.numbers(F.col("business_address"))), ",").alias("numbers"), F.coalesce(T.first_number(F.col("business_address")), F.lit("")).alias("first_number"))
+
+
+def postal_codes(spark, d):
+    return _texts(spark, d).where("business_address is not null").select("entity_id", F.array_join(F.array_sort(T.postal_codes(F.col("business_address"))), ",").alias("codes"))
+
+
+def tokens_norm(spark, d):
+    words = F.transform(T.words(F.col("business_name"), 2), lambda w: F.translate(w, "ς", "σ"))
+    return _texts(spark, d).where("business_name is not null").select("entity_id", F.array_join(words, " ").alias("tokens"))
+
+
+def char_ngrams(spark, d):
+    grams = T.trigrams(T.ascii_alnum(T.lowered(F.col("business_name"))))
+    return _texts(spark, d).where("business_name is not null").select("entity_id", F.array_join(F.array_sort(grams), ",").alias("grams"))
+
+
+def script_detect(spark, d):
+    return _texts(spark, d).select("entity_id", T.script(F.col("business_name")).alias("script"))
+
+
+def legal_strip(spark, d):
+    low = T.lowered(T.trimmed(F.col("business_name")))
+    return _texts(spark, d).where("business_name is not null").select("entity_id", F.regexp_replace(low, R.LEGAL_ASCII, "").alias("core"), F.regexp_replace(low, R.PREFIX_ASCII, "").alias("no_prefix"))
+
+
+def normalised_records(spark, d):
+    return normalise_records(_texts(spark, d))
+
+
+# --- resolve, metrics, checks -------------------------------------------------------------------------------
+
+
+def resolve_affinity(spark, d):
+    return affinity(_pairs(spark, d), records(spark, d, "test_source1"), pool(spark, d))
+
+
+def resolve_exclusive(spark, d):
+    return resolve(_pairs(spark, d), records(spark, d, "test_source1"), pool(spark, d), most=None)
+
+
+def resolve_cap(spark, d):
+    return resolve(_pairs(spark, d), records(spark, d, "test_source1"), pool(spark, d), strict_cap=True)
+
+
+def _scored(spark, d):
+    """Candidate pairs with a score from 0 to 1: the highest priority of a pair as a share of the highest of all."""
+    pairs = table(spark, d, "candidate_pairs").where("source1_entity_id is not null and total_priority is not null and not isnan(total_priority)")
+    best = pairs.groupBy("source1_entity_id", "candidate_entity_id").agg(F.max("total_priority").alias("p"))
+    top = best.agg(F.max("p")).first()[0] or 1.0
+    return best.select("source1_entity_id", "candidate_entity_id", (F.col("p") / F.lit(top)).alias("score"))
+
+
+def s1_metrics(spark, d):
+    predicted = _scored(spark, d).where("score >= 0.1")
+    return entity_metrics(records(spark, d, "test_source1").withColumnRenamed("entity_id", "source1_entity_id"), predicted, _truth(spark, d))
+
+
+def macro_f05(spark, d):
+    return evaluate(_scored(spark, d), _truth(spark, d), 0.1)
+
+
+def macro_groups(spark, d):
+    return macro_by_group(s1_metrics(spark, d))
+
+
+def _labelled(spark, d):
+    labels = table(spark, d, "match_labels").where("match_label is not null").groupBy("source1_entity_id", "candidate_entity_id").agg(F.max("match_label").alias("label"))
+    return labels.join(_scored(spark, d), ["source1_entity_id", "candidate_entity_id"]).select("label", "score")
+
+
+def pair_confusion(spark, d):
+    return confusion(_labelled(spark, d), 0.1)
+
+
+def pair_auc(spark, d):
+    return ranking(_labelled(spark, d))
+
+
+def validate_findings(spark, d):
+    lists = _pairs(spark, d).groupBy("source1_entity_id").agg(F.array_join(F.array_sort(F.collect_set("candidate_entity_id")), ",").alias("ids"))
+    return findings(lists, records(spark, d, "test_source1"), records(spark, d, "test_source2"))
+
+
+def validate_subset(spark, d):
+    return outside(_truth(spark, d), _pairs(spark, d))
+
+
+# --- models -------------------------------------------------------------------------------------------------
+
+
+def _training(spark, d):
+    labels = table(spark, d, "match_labels").where("match_label is not null").groupBy("source1_entity_id", "candidate_entity_id").agg(F.max("match_label").alias("match_label"))
+    return pair_features(labels, records(spark, d, "test_source1"), pool(spark, d)).join(labels, ["source1_entity_id", "candidate_entity_id"])
+
+
+def _model(kind, **params):
+    def query(spark, d):
+        data = durable(_training(spark, d))
+        return MatchModel(kind, params).fit(data).predict(data).select("source1_entity_id", "candidate_entity_id", "match_label", "score", "is_match")
+
+    return query
+
+
+def model_importances(spark, d):
+    return MatchModel("random_forest", {"numTrees": 20, "maxDepth": 6}).fit(durable(_training(spark, d))).importances(spark)
+
+
+def model_calibrated(spark, d):
+    data = durable(split_groups(_training(spark, d)))
+    model = MatchModel("logistic_regression").fit(data.where("split_group = 'train'"))
+    return model.calibrate(data.where("split_group = 'val'")).predict_proba(data).select("source1_entity_id", "candidate_entity_id", "match_label", "score")
+
+
+def feature_list(spark, d):
+    return feature_catalog(spark)
+
+
+QUERIES |= {
+    f.__name__: f
+    for f in (
+        export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_provenance, feat_source, labels_attach, split_group_sizes,
+        numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, resolve_affinity, resolve_exclusive, resolve_cap,
+        s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
+    )
+} | {
+    "feat_name": _group("name"), "feat_address": _group("address"), "feat_interactions": _group("interaction"),
+    "model_logistic": _model("logistic_regression"), "model_boosted": _model("xgboost_weighted", maxIter=20), "model_forest": _model("random_forest", numTrees=20, maxDepth=6),
+}
+
+_S1 = "s1 AS (SELECT DISTINCT entity_id, business_name, business_address, country FROM test_source1)"
+_POOL = "pool AS (SELECT DISTINCT entity_id, business_name, business_address, country FROM test_source2 UNION ALL SELECT DISTINCT entity_id, business_name, business_address, country FROM test_source3)"
+_PAIRS = "p AS (SELECT DISTINCT source1_entity_id, candidate_entity_id FROM candidate_pairs WHERE source1_entity_id IS NOT NULL AND candidate_entity_id IS NOT NULL)"
+_TRUTH = "t AS (SELECT DISTINCT source1_entity_id, candidate_entity_id FROM match_labels WHERE match_label = 1)"
+_TEXTS = f"{_S1}, {_POOL}, x AS (SELECT * FROM s1 UNION ALL SELECT * FROM pool)"
+_LISTS = "l AS (SELECT s1.entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT p.candidate_entity_id, ',' ORDER BY p.candidate_entity_id), '') AS candidate_entity_ids FROM s1 LEFT JOIN p ON p.source1_entity_id = s1.entity_id GROUP BY 1)"
+_SCORED = """b AS (SELECT source1_entity_id, candidate_entity_id, max(total_priority) AS p FROM candidate_pairs WHERE source1_entity_id IS NOT NULL AND total_priority IS NOT NULL AND NOT isnan(total_priority) GROUP BY ALL),
+  sc AS (SELECT source1_entity_id, candidate_entity_id, p / (SELECT max(p) FROM b) AS score FROM b)"""
+_LABELLED = f"{_SCORED}, y AS (SELECT source1_entity_id, candidate_entity_id, max(match_label) AS label FROM match_labels WHERE match_label IS NOT NULL GROUP BY ALL), q AS (SELECT label, score FROM y JOIN sc USING (source1_entity_id, candidate_entity_id))"
+
+
+def _metrics(spine: str) -> str:
+    return f"""{_TRUTH}, {_SCORED}, pr AS (SELECT source1_entity_id, candidate_entity_id FROM sc WHERE score >= 0.1),
+  a AS (SELECT source1_entity_id, count(*) AS n FROM t GROUP BY 1), c AS (SELECT source1_entity_id, count(*) AS n FROM pr GROUP BY 1),
+  h AS (SELECT source1_entity_id, count(*) AS n FROM t JOIN pr USING (source1_entity_id, candidate_entity_id) GROUP BY 1),
+  k AS (SELECT z.source1_entity_id, coalesce(a.n, 0) AS true_n, coalesce(c.n, 0) AS pred_n, coalesce(h.n, 0) AS hits
+    FROM ({spine}) z LEFT JOIN a USING (source1_entity_id) LEFT JOIN c USING (source1_entity_id) LEFT JOIN h USING (source1_entity_id)),
+  g AS (SELECT *, CASE WHEN true_n = 0 AND pred_n = 0 THEN 1.0 WHEN true_n = 0 OR pred_n = 0 THEN 0.0 ELSE CAST(hits AS DOUBLE) / pred_n END AS precision,
+    CASE WHEN true_n = 0 AND pred_n = 0 THEN 1.0 WHEN true_n = 0 OR pred_n = 0 THEN 0.0 ELSE CAST(hits AS DOUBLE) / true_n END AS recall FROM k),
+  m AS (SELECT *, CASE WHEN 0.25 * precision + recall > 0 THEN 1.25 * precision * recall / (0.25 * precision + recall) ELSE 0.0 END AS f05 FROM g)"""
+
+
+_ALL_S1 = "SELECT DISTINCT entity_id AS source1_entity_id FROM test_source1"
+_LOW = "translate(lower(trim(business_name)), chr(962), chr(963))"
+_WORDS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+')"
+_RANGES = {"devanagari": r"\x{0900}-\x{097F}", "tamil": r"\x{0B80}-\x{0BFF}", "gujarati": r"\x{0A80}-\x{0AFF}", "bengali": r"\x{0980}-\x{09FF}", "latin": r"A-Za-z\x{00C0}-\x{024F}"}
+_COUNTS = ", ".join(f"length(regexp_replace(business_name, '[^{r}]', '', 'g')) AS {n}" for n, r in _RANGES.items())
+
+SQL |= {
+    "export_pairs_validated": f"WITH {_S1}, {_POOL}, {_PAIRS} SELECT DISTINCT p.* FROM p JOIN s1 ON s1.entity_id = p.source1_entity_id JOIN pool ON pool.entity_id = p.candidate_entity_id WHERE s1.country = pool.country AND p.source1_entity_id LIKE 'S1-%' AND (p.candidate_entity_id LIKE 'S2-%' OR p.candidate_entity_id LIKE 'S3-%')",
+    "export_lists": f"WITH {_S1}, {_PAIRS}, {_LISTS} SELECT * FROM l",
+    "reload_lists": f"""WITH {_S1}, {_PAIRS}, {_LISTS}, e AS (SELECT source1_entity_id, unnest(string_split(candidate_entity_ids, ',')) AS candidate_entity_id FROM l)
+SELECT *, 100.0::DOUBLE AS total_priority, 1 AS channels_fired, 1 AS rank_order, 1 AS fired_chan_a, 0 AS fired_chan_a2, 0 AS fired_chan_b, 0 AS fired_chan_c, 0 AS fired_chan_d, 0 AS fired_chan_e, 0 AS fired_chan_e2, 0 AS fired_chan_g FROM e WHERE candidate_entity_id <> ''""",
+    "pool_semi": f"WITH {_POOL} SELECT * FROM pool WHERE entity_id IN (SELECT candidate_entity_id FROM candidate_pairs WHERE source1_entity_id IS NOT NULL)",
+    "feat_country": f"""WITH {_S1}, {_POOL}, {_PAIRS} SELECT p.*, CASE WHEN s1.country <> '' AND s1.country = pool.country THEN 1.0 ELSE 0.0 END::FLOAT AS country_exact_match,
+  CASE WHEN coalesce(s1.country, '') = '' OR coalesce(pool.country, '') = '' THEN 1.0 ELSE 0.0 END::FLOAT AS country_missing_either
+  FROM p LEFT JOIN s1 ON s1.entity_id = p.source1_entity_id LEFT JOIN pool ON pool.entity_id = p.candidate_entity_id""",
+    "feat_source": f"WITH {_PAIRS} SELECT *, (candidate_entity_id LIKE 'S2-%')::INT::FLOAT AS candidate_is_source2, (candidate_entity_id LIKE 'S3-%')::INT::FLOAT AS candidate_is_source3 FROM p",
+    "feat_provenance": "SELECT source1_entity_id, candidate_entity_id, " + ", ".join(f"coalesce({c}, 0)::FLOAT AS {c}" for c in CHANNEL_FLAGS)
+    + ", coalesce(channels_fired, 1)::FLOAT AS channels_fired_count, coalesce(total_priority, 0)::FLOAT AS blocking_priority_score, coalesce(rank_order, 1)::FLOAT AS blocking_rank_order FROM candidate_pairs",
+    "labels_attach": f"WITH {_PAIRS}, {_TRUTH} SELECT p.*, CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS match_label FROM p LEFT JOIN t USING (source1_entity_id, candidate_entity_id)",
+    "split_group_sizes": f"WITH {_PAIRS}, n AS (SELECT count(DISTINCT source1_entity_id) AS n FROM p) SELECT 'val' AS split_group, CAST(floor(n * 0.2) AS BIGINT) AS s1_records FROM n UNION ALL SELECT 'train', n - CAST(floor(n * 0.2) AS BIGINT) FROM n",
+    "numeric_tokens": rf"""WITH {_TEXTS}, w AS (SELECT entity_id, list_transform(list_filter({_WORDS.format('business_address')}, lambda v: regexp_full_match(v, '\p{{Nd}}+')), lambda v: CASE WHEN ltrim(v, '0') = '' THEN '0' ELSE ltrim(v, '0') END) AS n FROM x WHERE business_address IS NOT NULL)
+SELECT entity_id, array_to_string(list_sort(list_distinct(n)), ',') AS numbers, coalesce(n[1], '') AS first_number FROM w""",
+    "postal_codes": rf"WITH {_TEXTS} SELECT entity_id, array_to_string(list_sort(list_distinct(list_filter({_WORDS.format('business_address')}, lambda v: regexp_full_match(v, '\p{{Nd}}{{5,6}}')))), ',') AS codes FROM x WHERE business_address IS NOT NULL",
+    "tokens_norm": rf"WITH {_TEXTS} SELECT entity_id, array_to_string(list_filter({_WORDS.format('translate(lower(business_name), chr(962), chr(963))')}, lambda v: length(v) >= 2), ' ') AS tokens FROM x WHERE business_name IS NOT NULL",
+    "char_ngrams": f"""WITH {_TEXTS}, k AS (SELECT entity_id, regexp_replace(lower(business_name), '[^a-z0-9]', '', 'g') AS s FROM x WHERE business_name IS NOT NULL)
+SELECT entity_id, CASE WHEN length(s) < 3 THEN s ELSE array_to_string(list_sort(list_distinct(list_transform(range(1, length(s) + 1), lambda i: substring('^' || s || '$', i, 3)))), ',') END AS grams FROM k""",
+    "script_detect": f"""WITH {_TEXTS}, k AS (SELECT entity_id, business_name, {_COUNTS} FROM x)
+SELECT entity_id, CASE WHEN coalesce(business_name, '') = '' THEN 'empty' WHEN greatest({', '.join(_RANGES)}) = 0 THEN 'latin' {' '.join(f"WHEN {n} = greatest({', '.join(_RANGES)}) THEN '{n}'" for n in _RANGES)} END AS script FROM k""",
+    "legal_strip": f"WITH {_TEXTS} SELECT entity_id, {blocking_sql._sub(_LOW, R.LEGAL_RE2)} AS core, {blocking_sql._sub(_LOW, R.PREFIX_RE2)} AS no_prefix FROM x WHERE business_name IS NOT NULL",
+    "s1_metrics": f"WITH {_metrics(_ALL_S1)} SELECT * FROM m",
+    "macro_f05": f"""WITH {_metrics('SELECT DISTINCT source1_entity_id FROM t')} SELECT avg(f05) AS macro_f05, avg(precision) AS macro_precision, avg(recall) AS macro_recall, count(*) AS total_s1,
+  avg(CASE WHEN pred_n = 0 THEN 100.0 ELSE 0.0 END) AS empty_pred_pct, avg(pred_n) AS avg_pred_matches, CAST(sum(pred_n) AS BIGINT) AS total_pred_matches FROM m""",
+    "macro_groups": f"""WITH {_metrics(_ALL_S1)}, g3 AS (SELECT CASE WHEN true_n = 1 THEN 'group1_singleton' WHEN true_n = 0 THEN 'group2_zero_match' ELSE 'group3_multi_match' END AS bucket, * FROM m)
+SELECT bucket, count(*) AS count, avg(f05) AS macro_f05, avg(precision) AS macro_precision, avg(recall) AS macro_recall, avg(pred_n) AS avg_pred_matches,
+  CASE WHEN bucket = 'group2_zero_match' THEN avg(CASE WHEN pred_n > 0 THEN 100.0 ELSE 0.0 END) WHEN sum(pred_n) > 0 THEN (sum(pred_n) - sum(hits)) / CAST(sum(pred_n) AS DOUBLE) * 100 ELSE 0.0 END AS false_positive_rate FROM g3 GROUP BY 1""",
+    "pair_confusion": f"""WITH {_LABELLED}, k AS (SELECT count(*) FILTER (label = 1 AND score >= 0.1) AS tp, count(*) FILTER (label <> 1 AND score >= 0.1) AS fp, count(*) FILTER (label = 1 AND score < 0.1) AS fn, count(*) FILTER (label <> 1 AND score < 0.1) AS tn,
+  avg(CASE WHEN label = 1 THEN -ln(least(greatest(score, 1e-7), 1 - 1e-7)) ELSE -ln(1 - least(greatest(score, 1e-7), 1 - 1e-7)) END) AS log_loss, avg((score - label) * (score - label)) AS brier_score FROM q),
+  r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS pair_precision, CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS pair_recall FROM k)
+SELECT *, CASE WHEN 0.25 * pair_precision + pair_recall > 0 THEN 1.25 * pair_precision * pair_recall / (0.25 * pair_precision + pair_recall) ELSE 0.0 END AS pair_f05 FROM r""",
+    "pair_auc": f"""WITH {_LABELLED}, s AS (SELECT score, CAST(sum(label) AS DOUBLE) AS p, CAST(sum(1 - label) AS DOUBLE) AS n FROM q GROUP BY 1),
+  c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY score DESC)),
+  z AS (SELECT sum(p) AS pp, sum(n) AS nn, sum(n * (tp - p / 2)) AS wins, sum(p * tp / (tp + fp)) AS ap FROM c)
+SELECT CASE WHEN pp > 0 AND nn > 0 THEN wins / (pp * nn) ELSE 0.0 END AS roc_auc, CASE WHEN pp > 0 AND nn > 0 THEN ap / pp ELSE 0.0 END AS pr_auc FROM z""",
+    "validate_findings": f"""WITH {_S1}, {_PAIRS}, have AS (SELECT DISTINCT source1_entity_id FROM p)
+SELECT 'self_match' AS rule, source1_entity_id, candidate_entity_id AS value FROM p WHERE candidate_entity_id LIKE 'S1-%'
+UNION ALL SELECT 'wrong_prefix', source1_entity_id, candidate_entity_id FROM p WHERE NOT regexp_matches(candidate_entity_id, '^S[123]-')
+UNION ALL SELECT 'unknown_id', source1_entity_id, candidate_entity_id FROM p WHERE regexp_matches(candidate_entity_id, '^S[23]-') AND candidate_entity_id NOT IN (SELECT entity_id FROM test_source2)
+UNION ALL SELECT 'missing_record', entity_id, NULL FROM (SELECT DISTINCT entity_id FROM s1) WHERE entity_id NOT IN (SELECT source1_entity_id FROM have)
+UNION ALL SELECT 'unexpected_record', source1_entity_id, NULL FROM have WHERE source1_entity_id NOT IN (SELECT entity_id FROM s1)""",
+    "validate_subset": f"WITH {_PAIRS}, {_TRUTH} SELECT t.source1_entity_id, t.candidate_entity_id AS value FROM t WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.source1_entity_id = t.source1_entity_id AND p.candidate_entity_id = t.candidate_entity_id)",
+}

@@ -1 +1 @@
-
+"""Nothing here streams: every source is one finite batch."""
