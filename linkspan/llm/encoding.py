@@ -28,6 +28,7 @@ NUMBER = {c: i for i, c in enumerate(CHAINS)}
 BUCKETS = 1 << 16
 ROUNDS = 5
 ALPHA = 0.02
+EXPECTED = 2.0
 
 
 @lru_cache(maxsize=None)
@@ -119,7 +120,7 @@ def restorations(text: str) -> list[tuple[int, str]]:
         if w in ("cp1251", "koi8_r", "cp1253") and any(a > "\u036f" and b > "\u036f" and a in there and b in there and a.isalpha() and b.isalpha() for a, b in zip(text, text[1:])):
             continue
         y = "".join(bytes([there[c]]).decode(t, "replace") if c in there and c > "\xa0" else c for c in text)
-        if y != text and "�" not in y:
+        if y != text and "�" not in y and y.count("\xa0") == text.count("\xa0"):
             out.setdefault(y, NUMBER[f"{t}>{w}"])
     return [(k, y) for y, k in out.items() if _plausible(y) or CHAINS[k].startswith("utf8>")]
 
@@ -138,7 +139,7 @@ def shortest(text: str) -> str:
             y = unread(x, w)
             if y == x:
                 break
-            if len(y) < len(best) and _plausible(y):
+            if len(y) < len(best) and _plausible(y) and not any("\u0180" <= c < "\u0300" for c in y):
                 best = y
             x = y
     return best
@@ -158,13 +159,29 @@ def _class(ch: str) -> str:
 
 
 def evidence(text: str) -> list[int]:
-    """Two buckets for each character beyond ASCII: the character, and its class, each with its neighbours' classes."""
+    """Two buckets for each character beyond ASCII: the character, and its class, each with its neighbours' classes. Each once."""
     classes = ["^", *[_class(c) for c in text], "^"]
     out = []
     for i, c in enumerate(text):
         if c > "\x7f":
             around = f"{classes[i]}{{}}{classes[i + 2]}"
-            out += [zlib.crc32(around.format(x).encode("utf-8", "replace")) % BUCKETS for x in (c, f"<{classes[i + 1]}>")]
+            out += [_bucket(around.format(x)) for x in (c, f"<{classes[i + 1]}>")]
+    return list(dict.fromkeys(out))
+
+
+def _bucket(s: str) -> int:
+    return zlib.crc32(s.encode("utf-8", "replace")) % BUCKETS
+
+
+def _expected() -> dict[int, float]:
+    """Counts to start from: letters stand beside letters of their kind, or at the end of a word."""
+    kinds = ["l", "u", "g", "c", "m", "DEVA", "BENG", "GUJA", "GURM", "TAMI", "TELU", "KANN", "MALA", "ARAB", "CJK", "HIRA", "KATA", "HANG", "THAI", "HEBR"]
+    near = {"l": "lu", "u": "ul"}
+    out = {}
+    for k in kinds:
+        beside = [k, *near.get(k, "")]
+        for a, b in [*((x, y) for x in beside for y in beside), *((x, e) for x in beside for e in "^p"), *((e, y) for e in "^p" for y in beside)]:
+            out[_bucket(f"{a}<{k}>{b}")] = EXPECTED
     return out
 
 
@@ -222,8 +239,9 @@ def _fit(table: DataFrame, fields: list[str]) -> Model:
 
     A round adds up expected counts by chain and by evidence bucket, at most fields x chains + BUCKETS sums.
     """
+    expected = _expected()
     start = {f: {k: _start_prior(k) for k in range(len(CHAINS))} for f in fields}
-    model = Model(start, {}, math.log(1 / BUCKETS))
+    model = Model(start, {}, math.log(1 / BUCKETS))  # the first round weighs by the priors alone
     for turn in range(ROUNDS):
 
         def expect(batches, model=model, turn=turn):
@@ -242,7 +260,10 @@ def _fit(table: DataFrame, fields: list[str]) -> Model:
             yield pa.RecordBatch.from_pydict({"f": [k[0] for k in sums], "v": [k[1] for k in sums], "s": list(sums.values())}, schema=pa.schema([("f", pa.string()), ("v", pa.int32()), ("s", pa.float64())]))
 
         got = table.select("field", "n", "chains", "evidence").mapInArrow(expect, "f string, v int, s double").groupBy("f", "v").agg(F.sum("s").alias("s")).collect()
-        counts = {r["v"]: r["s"] for r in got if r["f"] == ""}
+        counts = dict(expected)
+        for r in got:
+            if r["f"] == "":
+                counts[r["v"]] = counts.get(r["v"], 0.0) + r["s"]
         total = sum(counts.values()) + ALPHA * BUCKETS
         priors = {}
         for f in fields:

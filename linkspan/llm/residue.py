@@ -47,6 +47,8 @@ LONG = 200
 HOSTS, TEXTS, SHARE = 3, 4, 0.6
 #: A line is a page's own content if it occurs in this many distinct texts at most (mirrors, second fetches).
 OWN = 3
+#: Pages whose three longest lines agree, of this length at least, are mirrors of one another.
+MIRRORED = 35
 #: Most message keys that are broadcast; beyond it they meet the lines in a join.
 MOST_BROADCAST = 100_000
 # Signs of a message in a line too rare to be judged by its company.
@@ -133,6 +135,8 @@ def examine(url: str | None, text: str | None) -> dict:
             out["keys"].append(key)
             out["spoken"].append(not footer and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
     out["echo"] = bool(slug & told)
+    longest = sorted((k for k in set(out["keys"]) if len(k) >= MIRRORED), key=lambda k: (-len(k), k))[:3]
+    out["copy"] = zlib.crc32(("\n".join(longest) if len(longest) == 3 else text or "").encode("utf-8", "replace"))
     return out
 
 
@@ -153,7 +157,7 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     hosts share is a message if most pages with it have no content; filler is told by its words, messages
     too rare to judge by their wording. A page without content that says a message or filler is empty.
 
-    Copies count once: lines are counted over distinct texts. Null and blank texts are no case; a null host
+    Copies count once: equal texts, and pages that agree in their three longest lines. Null and blank texts are no case; a null host
     or url is a host or url of its own. Keys that occur twice come out once. An empty input gives no rows.
     """
     rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(host), F.lit("")).alias("host"), F.col(url).alias("url"), F.col(text).alias("text")).where(r"text is not null and text rlike '\\S'")
@@ -162,7 +166,7 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
         for b in batches:
             got = [examine(u, t) for u, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             arrays = [pa.array([g[n] for g in got], k) for n, k in _FIELDS]
-            copy = pa.array([zlib.crc32(t.encode("utf-8", "replace")) for t in b.column(3).to_pylist()], pa.int64())
+            copy = pa.array([g["copy"] for g in got], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), copy, *arrays], names=["id", "host", "copy", *[n for n, _ in _FIELDS]])
 
     kind = df.schema[key].dataType.simpleString()
@@ -176,16 +180,17 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
 
     one = pages.where("size(keys) > 0").groupBy("copy", "host").agg(F.first(F.struct("keys", "spoken")).alias("p"), F.max("long").alias("long"), F.max("echo").alias("echo"))
     lines = durable(one.select("copy", "host", F.posexplode(F.arrays_zip("p.keys", "p.spoken")).alias("pos", "x")).groupBy("copy", "host", F.xxhash64("x.keys").alias("k")).agg(F.min("pos").alias("pos"), F.max("x.spoken").alias("spoken")))
-    by_key = lines.groupBy("k").agg(F.count("*").alias("texts"))
+    texts = lines.groupBy("k", "copy").agg(F.max("spoken").alias("spoken"), F.min("pos").alias("pos"))
+    by_key = texts.groupBy("k").agg(F.count("*").alias("texts"))
     own_lines = durable(lines.where("spoken").join(by_key.where(F.col("texts") <= OWN).select("k"), "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos")))
     own = own_lines.groupBy("copy").agg(F.count("*").alias("own"))
     full = pages.select("copy", (F.col("long") | F.col("echo")).alias("full")).groupBy("copy").agg(F.bool_or("full").alias("full"))
     content = durable(full.join(own, "copy", "left").select("copy", (F.col("full") | (F.coalesce("own", F.lit(0)) >= 2)).alias("content")))
 
-    told = lines.join(content, "copy").groupBy("k", "host").agg(F.count("*").alias("n"), F.count_if(~F.col("content")).alias("bare"))
-    message = told.groupBy("k").agg(F.count("*").alias("hosts"), F.sum("n").alias("n"), F.sum("bare").alias("bare"))
-    judged = F.col("hosts") >= HOSTS
-    message = durable(message.where(judged & (F.col("n") >= TEXTS) & (F.col("bare") >= SHARE * F.col("n"))).select("k"))
+    hosts = lines.select("k", "host").distinct().groupBy("k").agg(F.count("*").alias("hosts")).where(F.col("hosts") >= HOSTS)
+    told = texts.join(content, "copy").groupBy("k").agg(F.count("*").alias("n"), F.count_if(~F.col("content")).alias("bare"))
+    message = told.where((F.col("n") >= TEXTS) & (F.col("bare") >= SHARE * F.col("n")))
+    message = durable(message.join(hosts, "k", "left_semi").select("k"))
     if message.count() <= MOST_BROADCAST:
         message = F.broadcast(message)
     bare = content.where("not content").select("copy")
