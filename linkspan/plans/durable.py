@@ -31,4 +31,16 @@ def durable(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_durable_path"] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of durable tables that nothing will read again."""
+    for df in tables:
+        path = df.__dict__.pop("_durable_path", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop_path, True)
