@@ -13,6 +13,7 @@ from linkspan.operators.features import pair_features
 from linkspan.operators.model import MatchModel
 from linkspan.operators.resolve import resolve
 from linkspan.plans.durable import durable
+from linkspan.session import ship
 from linkspan.sources import tsv
 
 
@@ -44,6 +45,7 @@ def match(s1: DataFrame, pool: DataFrame, model: MatchModel, conf: Settings | No
 
 def run(spark: SparkSession, data_dir: str, output_dir: str, model_path: str, conf: Settings | None = None) -> None:
     """Read test_source1..3.tsv, write matching_results.tsv and candidate_pairs.tsv (one row per S1 record)."""
+    ship(spark)
     s1 = tsv.limited(tsv.read_source(spark, f"{data_dir}/test_source1.tsv"), (conf or Settings()).limit)
     pool = tsv.read_source(spark, f"{data_dir}/test_source2.tsv").unionByName(tsv.read_source(spark, f"{data_dir}/test_source3.tsv"))
     matches, pairs = match(s1, pool, MatchModel.load(spark, model_path), conf)
