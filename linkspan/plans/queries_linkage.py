@@ -13,7 +13,7 @@ from linkspan.operators.metrics import confusion, entity_metrics, evaluate, macr
 from linkspan.operators.model import MatchModel
 from linkspan.operators.resolve import affinity, resolve
 from linkspan.operators.validate import findings, outside
-from linkspan.plans import blocking_sql
+from linkspan.plans import blocking_sql, feature_sql
 from linkspan.plans.durable import durable
 from linkspan.sources import tsv
 from linkspan.sources.tables import records, table
@@ -150,6 +150,13 @@ def feat_source(spark, d):
     return x.select("source1_entity_id", "candidate_entity_id", "candidate_is_source2", "candidate_is_source3")
 
 
+NAME_TOKENS = [c for c in GROUPS["name"] if "token" in c or c in ("name_raw_exact", "name_alphanumeric_exact", "name_length_diff", "business_word_overlap_count", "name_both_latin", "name_cross_script", "name_has_non_ascii", "name_missing_either")]
+
+
+def feat_name_tokens(spark, d):
+    return _group("name")(spark, d).select("source1_entity_id", "candidate_entity_id", *NAME_TOKENS)
+
+
 def labels_attach(spark, d):
     return attach_labels(_pairs(spark, d), _truth(spark, d))
 
@@ -288,7 +295,7 @@ def feature_list(spark, d):
 QUERIES |= {
     f.__name__: f
     for f in (
-        export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_provenance, feat_source, labels_attach, split_group_sizes,
+        export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_name_tokens, feat_provenance, feat_source, labels_attach, split_group_sizes,
         numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, resolve_affinity, resolve_exclusive, resolve_cap,
         s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
     )
@@ -337,6 +344,8 @@ SELECT *, 100.0::DOUBLE AS total_priority, 1 AS channels_fired, 1 AS rank_order,
     "feat_source": f"WITH {_PAIRS} SELECT *, (candidate_entity_id LIKE 'S2-%')::INT::FLOAT AS candidate_is_source2, (candidate_entity_id LIKE 'S3-%')::INT::FLOAT AS candidate_is_source3 FROM p",
     "feat_provenance": "SELECT source1_entity_id, candidate_entity_id, " + ", ".join(f"coalesce({c}, 0)::FLOAT AS {c}" for c in CHANNEL_FLAGS)
     + ", coalesce(channels_fired, 1)::FLOAT AS channels_fired_count, coalesce(total_priority, 0)::FLOAT AS blocking_priority_score, coalesce(rank_order, 1)::FLOAT AS blocking_rank_order FROM candidate_pairs",
+    "feat_name_tokens": feature_sql.NAME_TOKENS,
+    "feat_address": feature_sql.ADDRESS,
     "labels_attach": f"WITH {_PAIRS}, {_TRUTH} SELECT p.*, CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS match_label FROM p LEFT JOIN t USING (source1_entity_id, candidate_entity_id)",
     "split_group_sizes": f"WITH {_PAIRS}, n AS (SELECT count(DISTINCT source1_entity_id) AS n FROM p) SELECT 'val' AS split_group, CAST(floor(n * 0.2) AS BIGINT) AS s1_records FROM n UNION ALL SELECT 'train', n - CAST(floor(n * 0.2) AS BIGINT) FROM n",
     "numeric_tokens": rf"""WITH {_TEXTS}, w AS (SELECT entity_id, list_transform(list_filter({_WORDS.format('business_address')}, lambda v: regexp_full_match(v, '\p{{Nd}}+')), lambda v: CASE WHEN ltrim(v, '0') = '' THEN '0' ELSE ltrim(v, '0') END) AS n FROM x WHERE business_address IS NOT NULL)
