@@ -17,7 +17,7 @@ DIRECTIONS = "north south east west".split()
 LANDMARKS = r"\b(?:opposite|opp|near|nr|next to|behind|beside)\b\.?\s+(?:[^\W\d_]+)\s+(?:[^\W\d_]+)"
 UNITS = (
     r"\b(?:shop|office|flat|gala|unit|apartment|apt|suite|ste|room|rm|building|bldg|block|local|appartement|appt|batiment|bat|escalier|esc)\b\.?"
-    r"(?:\s*(?:\bno\b|\bn|#)[.°º]*)?\s*#?\s*(?:[0-9]+(?:-[a-z]\b|[a-z]\b)?|[a-z]\b)"
+    r"(?:\s*(?:\bno\b|\bn|#)[.°º]*)?\s*#?\s*(?:[0-9]{1,4}(?![0-9])(?:-[a-z]\b|[a-z]\b)?|[a-z]\b)"
 )
 FLOORS = r"\b[0-9]+\s*(?:st|nd|rd|th|er|eme|e)?\s+(?:floor|etage)\b|\brdc\b|\bground floor\b|\brez-de-chaussee\b"
 BOX = r"\b(?:po|p\.?\s?o\.?)\s+box\s+[0-9]+|\bbp\s+[0-9]+"
@@ -28,6 +28,7 @@ _LANDMARKS, _UNITS, _FLOORS, _BOX = (re.compile(x) for x in (LANDMARKS, UNITS, F
 _BREAKS = re.compile(r"[,;|\n\r\t/()]+|\s[-–—]+\s")
 _MARKED = re.compile(r"(?:\b(?:plot|d|door|house)\b[.\s]*)?(?:\bno(?![^\W\d_])|\bn[°º]|\bn(?=\s?[0-9]{1,4}\b)|[°º])[.°º\s]*#?\s*([0-9]{1,4})\b(?!\s*-?[0-9])")
 _HASH = re.compile(r"#\s*([0-9]{1,4})\b")
+_HASH_STREET = re.compile(r"#\s*([0-9]{1,4})\b(?=,?\s*[^\W\d_]+\b\.?\s+[^\W\d_])")
 _PLAIN = re.compile(r"(?<![0-9a-z])([0-9]{1,4})(?![0-9a-z])")
 _CODE = re.compile(r"(?<![0-9])([0-9]{5,6})(?![0-9])")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,7 +65,7 @@ def parse(text: str | None) -> dict | None:
     if m is None:
         m = _PLAIN.search(_HASH.sub(lambda h: " " * len(h.group(0)), t))
         if m is None:
-            m = _HASH.search(t)
+            m = _HASH_STREET.search(t) or _HASH.search(t)
     if m:
         num = m.group(1).lstrip("0") or None
         t = t[: m.start()] + " \x02 " + t[m.end() :]

@@ -7,27 +7,38 @@ from pyspark.sql import functions as F
 
 from linkspan.llm.places import parsed, streets
 from linkspan.llm.rewrites import normalised
-from linkspan.plans.durable import durable
+from linkspan.plans.durable import durable, release
 
 #: Words of an address that enter its keys; the rest of a longer one still takes part in the comparison.
 _LONG = "filter(array_distinct(concat(name, rest)), w -> length(w) >= 3)"
 
 
+#: Letters of a word's start or end that enter a key.
+PART = 3
+
+
+def _crossed(x: str, y: str) -> str:
+    """SQL for the keys of each word of x with each other word of y: number with the starts, and with the ends, of both."""
+    return f"flatten(transform({x}, a -> flatten(transform(filter({y}, b -> b <> a), b -> array(concat(num, '/', left(a, {PART}), '/', left(b, {PART})), concat(num, '|', right(a, {PART}), '|', right(b, {PART})))))))"
+
+
+def _worded(column: str) -> str:
+    return f"filter({column}, w -> length(w) >= 3)"
+
+
 def left_keys(df: DataFrame) -> DataFrame:
-    """(rid, k): keys of the reference side: number with code, and number with a street and a town word, one of the two cut short."""
-    words = "flatten(transform(name, n -> flatten(transform(filter(town, w -> length(w) >= 3), t -> array(concat(num, '/', n, '/', left(t, 3)), concat(num, '/', t, '/', left(n, 3)))))))"
-    keys = F.concat(F.array(F.concat("num", F.lit("#"), "code")), F.expr(words))
-    return _exploded(df, keys)
+    """(rid, k): keys of the reference side: number with code, and number with the starts or ends of a street and a town word.
+
+    A slip in either word leaves its start or its end as it is.
+    """
+    return _exploded(df, F.concat(F.array(F.concat("num", F.lit("#"), "code")), F.expr(_crossed(_worded("name"), _worded("town")))))
 
 
 def right_keys(df: DataFrame) -> DataFrame:
     """(rid, k): the same keys; every ordered pair of words, unless a type word tells the street name from the rest."""
-    cross = lambda x, y: f"flatten(transform({x}, a -> transform(filter({y}, b -> b <> a), b -> concat(num, '/', a, '/', left(b, 3)))))"
-    name, rest = ("filter(" + c + ", w -> length(w) >= 3)" for c in ("name", "rest"))
-    told = F.expr(f"concat({cross(name, rest)}, {cross(rest, name)})")
-    pairs = F.when(F.col("type").isNotNull() & (F.size("name") == 1) & (F.size("rest") > 0), told).otherwise(F.expr(cross(_LONG, _LONG)))
-    keys = F.concat(F.array(F.concat("num", F.lit("#"), "code")), pairs)
-    return _exploded(df, keys)
+    told = F.expr(_crossed(_worded("name"), _worded("rest")))
+    pairs = F.when(F.col("type").isNotNull() & (F.size("name") == 1) & (F.size("rest") > 0), told).otherwise(F.expr(_crossed(_LONG, _LONG)))
+    return _exploded(df, F.concat(F.array(F.concat("num", F.lit("#"), "code")), pairs))
 
 
 def _exploded(df: DataFrame, keys: Column) -> DataFrame:
@@ -75,8 +86,11 @@ def prepared(left: DataFrame, right: DataFrame, address: str = "business_address
     With the column `name`, name fields as well.
     """
     keep = [name] if name else []
-    l, r, rules = normalised(durable(parsed(left, "id", address, keep)), durable(parsed(right, "id", address, keep)))
-    return tuple(durable(streets(x, "id", name).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r)) + (rules,)
+    read = [durable(parsed(x, "id", address, keep)) for x in (left, right)]
+    l, r, rules = normalised(*read)
+    out = tuple(durable(streets(x, "id", name).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r))
+    release(*read)
+    return (*out, rules)
 
 
 def same_places(left: DataFrame, right: DataFrame, address: str = "business_address") -> DataFrame:

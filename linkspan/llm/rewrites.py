@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkspan.llm.places import DIRECTIONS, TYPES
-from linkspan.plans.durable import durable
+from linkspan.plans.durable import durable, release
 
 #: Least likelihood ratio (G squared; 15.1 is p < 0.0001) and least support of a rewrite.
 G2 = 15.1
@@ -131,6 +131,7 @@ def normalised(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame,
         else:  # earlier rules lead on to the new full forms
             onward = step.select(F.col("src").alias("dst"), F.col("dst").alias("_to"))
             rules = durable(rules.join(onward, "dst", "left").select("round", "src", F.coalesce("_to", "dst").alias("dst")).unionByName(step))
+    release(pairs, frequency)
     if rules is None:
         rules = spark.createDataFrame([], "round int, src string, dst string")
     return rewrite(left, rules, ["words"]), rewrite(right, rules, ["words"]), rules
