@@ -80,3 +80,34 @@ def check_file(spark: SparkSession, path: str, header: list[str], required: Data
     for r in table.groupBy("rule").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(F.coalesce("value", "source1_entity_id"))), 1, examples).alias("some")).collect():
         out.append(f"{path}: {RULES[r['rule']]}: {r['n']} total, e.g. {', '.join(r['some'])}")
     return sorted(out)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Check result files from the command line; exit code 0 if nothing is wrong."""
+    import argparse
+    import sys
+
+    from linkspan.sources.tsv import exists, read_source
+
+    p = argparse.ArgumentParser(description="Check matching_results.tsv and, if it is there, candidate_pairs.tsv.")
+    p.add_argument("--matching", default="output/matching_results.tsv")
+    p.add_argument("--candidates", default="output/candidate_pairs.tsv")
+    p.add_argument("--test-dir", default="dataset")
+    p.add_argument("--check-ids", action="store_true", help="look ids up in the candidate sources")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("linkspan-validate").getOrCreate()
+    required = read_source(spark, f"{a.test_dir}/test_source1.tsv")
+    known = None
+    if a.check_ids and all(exists(spark, f"{a.test_dir}/test_source{i}.tsv") for i in (2, 3)):
+        known = read_source(spark, f"{a.test_dir}/test_source2.tsv").unionByName(read_source(spark, f"{a.test_dir}/test_source3.tsv"))
+    problems = check_file(spark, a.matching, MATCHING_HEADER, required, known)
+    if exists(spark, a.candidates):
+        problems += check_file(spark, a.candidates, CANDIDATE_HEADER, required, known)
+    else:
+        print(f"warning: {a.candidates} is missing", file=sys.stderr)
+    print("\n".join(problems) or "nothing wrong")
+    return int(bool(problems))
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -64,3 +64,19 @@ def test_durable_and_salts(spark):
     salts = salts_by_slot(hot, F.col("k"), min_rows=100)
     assert list(salts.values()) == [9]
     assert hot.select(n_salts(F.col("k"), salts).alias("n")).distinct().count() == 2
+
+
+def test_validator_command(spark, tmp_path, capsys):
+    from linkspan.operators.validate import main
+
+    data = tmp_path / "d"
+    data.mkdir()
+    for i in (1, 2, 3):
+        (data / f"test_source{i}.tsv").write_text(f"entity_id\tbusiness_name\tbusiness_address\tcountry\nS{i}-1\ta\tb\tc\n")
+    good = tmp_path / "m.tsv"
+    good.write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\n")
+    args = ["--matching", str(good), "--candidates", str(tmp_path / "none"), "--test-dir", str(data)]
+    assert main(args) == 0 and main([*args, "--check-ids"]) == 0
+    good.write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\n")
+    assert main(args) == 0 and main([*args, "--check-ids"]) == 1
+    assert "neither candidate source" in capsys.readouterr().out
