@@ -290,7 +290,8 @@ def repairs(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """
     field = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("x")
     values = df.select(F.col(key), field).select(key, "x.field", "x.value").where(r"value rlike '[^\\x00-\\x7f]'")
-    distinct = values.groupBy("field", "value").agg(F.count("*").alias("n")).repartition("field", "value")
+    distinct = values.groupBy("field", "value").agg(F.count("*").alias("n"))
+    distinct = distinct.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "field", "value")  # Python work: as many tasks, however few bytes
     table = durable(distinct.mapInArrow(_candidates, "field string, value string, n long, chains array<int>, texts array<string>, evidence array<array<int>>"))
     model = _fit(table, fields)
 

@@ -83,7 +83,7 @@ def parse(text: str | None) -> dict | None:
     return {"num": None if box and num is None else num, "code": code, "words": words, "segs": segs, "at": at, "native": sorted({skeleton(w) for w in native} - {""})}
 
 
-def classify(words: list[str], segs: list[int], at: int) -> dict:
+def classify(words: list[str], segs: list[int], at: int, skeletons: bool = True) -> dict:
     """Street type, compass direction, street name and other words of an address whose words are in full form.
 
     The street is the run of words around a type word; without a type word, the words of the segment with
@@ -139,7 +139,7 @@ def classify(words: list[str], segs: list[int], at: int) -> dict:
         "rest": rest,
         "town": [words[j] for j in others if segs[j] == segs[others[0]]],
         "types": types,
-        "skeletons": [skeleton(words[j]) for j in name],
+        "skeletons": [skeleton(words[j]) for j in name] if skeletons else [],
     }
 
 
@@ -163,10 +163,10 @@ def parsed(df: DataFrame, key: str, text: str, keep: list[str] = []) -> DataFram
     return df.select(key, text, *keep).mapInArrow(run, f"`{key}` string, {kept}{PARSED}")
 
 
-def streets(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+def streets(df: DataFrame, key: str, name: str | None = None, skeletons: bool = True) -> DataFrame:
     """(key, num, code, words, native) and the fields of STREET from parsed rows with rewritten words.
 
-    With the column `name`, the fields of names.NAME as well.
+    With the column `name`, the fields of names.NAME as well. Only the side that is compared with Indic words needs skeletons.
     """
     from linkspan.llm import names as N
 
@@ -175,10 +175,10 @@ def streets(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            got = [classify(*x) for x in zip(*(b.column(c).to_pylist() for c in ("words", "segs", "at")))]
+            got = [classify(*x, skeletons) for x in zip(*(b.column(c).to_pylist() for c in ("words", "segs", "at")))]
             arrays = [pa.array([g[n] for g in got], k) for n, k in fields]
             if more:
-                found = [N.fields(x) for x in b.column(name).to_pylist()]
+                found = [N.fields(x, skeletons) for x in b.column(name).to_pylist()]
                 arrays += [pa.array([g[n] for g in found], k) for n, k in more]
             kept = [key, "num", "code", "words", "native"]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + arrays, names=[*kept, *[n for n, _ in fields + more]])

@@ -88,7 +88,7 @@ def prepared(left: DataFrame, right: DataFrame, address: str = "business_address
     keep = [name] if name else []
     read = [durable(parsed(x, "id", address, keep)) for x in (left, right)]
     l, r, rules = normalised(*read)
-    out = tuple(durable(streets(x, "id", name).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r))
+    out = tuple(durable(streets(x, "id", name, x is l).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r))
     release(*read)
     return (*out, rules)
 
