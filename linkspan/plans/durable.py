@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,10 +38,16 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Delete the files of durable tables that nothing will read again."""
+    """Delete the files of durable tables that nothing will read again, and let Spark drop shuffles that nothing refers to.
+
+    Shuffle files stay until the driver's garbage is collected, which may be long after their last use.
+    """
     for df in tables:
         path = df.__dict__.pop("_durable_path", None)
         if path:
             sc = df.sparkSession.sparkContext
             hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
             hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
