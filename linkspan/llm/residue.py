@@ -47,6 +47,8 @@ LONG = 200
 HOSTS, TEXTS, SHARE = 3, 4, 0.6
 #: A line is a page's own content if it occurs in this many distinct texts at most (mirrors, second fetches).
 OWN = 3
+#: A line that has fewer different lines before it or after it belongs to one story, however many mirrors tell it.
+COMPANY = 3
 #: Pages whose three longest lines agree, of this length at least, are mirrors of one another.
 MIRRORED = 35
 #: Most message keys that are broadcast; beyond it they meet the lines in a join.
@@ -152,7 +154,8 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     words; a long one that always carries the same style is prose.
 
     Empty responses: title, address slug and body are set against what other hosts say. A line is a page's own
-    if it stands in a few distinct texts at most; the first of a page's own lines is its title. A page has content if it has
+    if it stands in a few distinct texts at most, or always between the same lines (mirrors of one story); the
+    first of a page's own lines is its title. A page has content if it has
     more than a title of its own, a line of its own after a message, a long line, or names its address slug in its text. A line that many
     hosts share is a message if most pages with it have no content; filler is told by its words, messages
     too rare to judge by their wording. A page without content that says a message or filler is empty.
@@ -178,19 +181,27 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     varied = skeletons.where(F.col("outside") >= PROSE_WORDS).join(template.where("n_styles >= 3").select("skeletons"), "skeletons", "left_semi").select("id")
     slots = short.unionAll(varied).distinct().withColumn("reason", F.lit("slots"))
 
-    one = pages.where("size(keys) > 0").groupBy("copy", "host").agg(F.first(F.struct("keys", "spoken")).alias("p"), F.max("long").alias("long"), F.max("echo").alias("echo"))
-    lines = durable(one.select("copy", "host", F.posexplode(F.arrays_zip("p.keys", "p.spoken")).alias("pos", "x")).groupBy("copy", "host", F.xxhash64("x.keys").alias("k")).agg(F.min("pos").alias("pos"), F.max("x.spoken").alias("spoken")))
+    one = pages.where("size(keys) > 0").groupBy("copy", "host").agg(F.first(F.struct("keys", "spoken")).alias("p"))
+    around = [F.xxhash64(F.coalesce(F.expr(f"get(p.keys, pos {step} 1)"), F.lit(""))).alias(name) for step, name in (("-", "before"), ("+", "after"))]
+    lines = one.select("copy", "host", "p", F.posexplode(F.arrays_zip("p.keys", "p.spoken")).alias("pos", "x")).select("copy", "host", F.xxhash64("x.keys").alias("k"), "pos", F.col("x.spoken").alias("spoken"), *around)
+    lines = durable(lines.groupBy("copy", "host", "k").agg(F.min(F.struct("pos", "before", "after")).alias("at"), F.max("spoken").alias("spoken")).select("copy", "host", "k", "at.*", "spoken"))
     texts = lines.groupBy("k", "copy").agg(F.max("spoken").alias("spoken"), F.min("pos").alias("pos"))
-    by_key = texts.groupBy("k").agg(F.count("*").alias("texts"))
-    own_lines = durable(lines.where("spoken").join(by_key.where(F.col("texts") <= OWN).select("k"), "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos")))
+    distinct = lambda c, name: lines.select("k", c).distinct().groupBy("k").agg(F.count("*").alias(name))
+    edge = F.xxhash64(F.lit(""))
+    edges = lines.groupBy("k").agg(F.bool_or(F.col("before") == edge).alias("first"), F.bool_or(F.col("after") == edge).alias("last"))
+    by_key = texts.groupBy("k").agg(F.count("*").alias("texts")).join(edges, "k")
+    by_key = durable(by_key.join(distinct("before", "befores"), "k").join(distinct("after", "afters"), "k").join(distinct("host", "hosts"), "k"))
+    # At the edge of a page nothing is told by a missing neighbour; a line of one or two hosts is their menu, not a mirrored story.
+    story = (~F.col("first") & (F.col("befores") < COMPANY)) | (~F.col("last") & (F.col("afters") < COMPANY))
+    theirs = (F.col("texts") <= OWN) | (story & (F.col("hosts") >= HOSTS))
+    own_lines = durable(lines.where("spoken").join(by_key.where(theirs).select("k"), "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos")))
     own = own_lines.groupBy("copy").agg(F.count("*").alias("own"))
     full = pages.select("copy", (F.col("long") | F.col("echo")).alias("full")).groupBy("copy").agg(F.bool_or("full").alias("full"))
     content = durable(full.join(own, "copy", "left").select("copy", (F.col("full") | (F.coalesce("own", F.lit(0)) >= 2)).alias("content")))
 
-    hosts = lines.select("k", "host").distinct().groupBy("k").agg(F.count("*").alias("hosts")).where(F.col("hosts") >= HOSTS)
     told = texts.join(content, "copy").groupBy("k").agg(F.count("*").alias("n"), F.count_if(~F.col("content")).alias("bare"))
-    message = told.where((F.col("n") >= TEXTS) & (F.col("bare") >= SHARE * F.col("n")))
-    message = durable(message.join(hosts, "k", "left_semi").select("k"))
+    common = by_key.where(~theirs & (F.col("hosts") >= HOSTS) & (F.col("texts") >= TEXTS)).select("k")
+    message = durable(told.where(F.col("bare") >= SHARE * F.col("n")).join(common, "k", "left_semi").select("k"))
     if message.count() <= MOST_BROADCAST:
         message = F.broadcast(message)
     bare = content.where("not content").select("copy")

@@ -31,8 +31,9 @@ def corpus():
             body = f"Home | News\nThe {a} of {host[:5]}{k} and Vero{'abcdefghijkl'[h]}{k}n\nEvery {b} in Ruko{'abcdefghijkl'[h]}{'wxyz'[k]} paints the {c} at noon.\nNobody in Sila{'abcdefghijkl'[h]}{'wxyz'[k]} sold a {a} that year.\nAll rights reserved {host}"
             docs.append((n, f"http://{host}/p-{n}", host, body, "x"))
             n += 1
-        for text in ("Error\nPage not found. It was moved.", "Loading\nThis shop needs scripts to be on.\nPage not found. It was moved."):
-            docs.append((n, f"http://{host}/p-{n}", host, f"Home | News\n{text}\nAll rights reserved {host}", "x"))
+        letter = "abcdefghijkl"[h]
+        for text in (f"{letter}ite.example\nPage not found. It was moved.", f"Loading {letter}\nThis shop needs scripts to be on.\nPage not found. It was moved."):
+            docs.append((n, f"http://{host}/p-{n}", host, f"Home | News\n{text}\nAll rights reserved {letter}os", "x"))
             n += 1
     return docs
 
@@ -56,6 +57,12 @@ def test_residue(spark):
     assert len(got) == len(set(got)) and set(got) == want | {k for k, (_, case) in more.items() if case}
 
 
+def test_mirrors_with_menus_and_footers(spark):
+    story = "The wheel of the old mill\nMay brought rain.\nThe ledger was lost.\nNobody asked."
+    docs = [(i, f"http://h{i}/x", f"h{i}", f"Menu {'abcdefghij'[i % 10] * 4} of pages\n{story}\nFooter {'klmnopqrst'[i // 10] * 3} line", "x") for i in range(80)]
+    assert residue(spark.createDataFrame(docs, DOC)).count() == 0
+
+
 def test_mirrors_and_empty(spark):
     page = "Home | News\nThe same story everywhere\nThe miller of Harrowgate sold the wheel in May.\nHis daughter kept the ledger until the flood."
     docs = [(i, f"http://h{i}/x", f"h{i}", page, "x") for i in range(40)]
