@@ -53,11 +53,16 @@ COMPANY = 3
 MIRRORED = 35
 #: Most message keys that are broadcast; beyond it they meet the lines in a join.
 MOST_BROADCAST = 100_000
-# Signs of a message in a line too rare to be judged by its company.
-SIGNS = re.compile(
-    r"javascript|scripts? (?:disabled|switched off)|turn on scripts|enable js\b|allow js\b|page not found|404 (?:not found|error|[-–—])|403 forbidden|internal server error|service unavailable|bad gateway|access denied|"
-    r"fatal error|exception:|sqlstate|stack trace|lorem ipsum|your (?:headline|text) here|sample text|placeholder (?:text|paragraph)"
-)
+# Signs of an error, a notice or filler in a line too rare to be judged by its company.
+SIGN_PHRASES = [
+    "javascript", "scripts disabled", "scripts switched off", "turn on scripts", "allow js", "enable js", "needs scripts", "browser is not supported",
+    "page not found", "403 forbidden", "404 not found", "internal server error", "service unavailable", "bad gateway", "gateway time", "access denied", "session expired", "too many requests",
+    "fatal error:", "exception:", "sqlstate", "you are not a robot", "no longer available", "domain is parked", "account has been suspended", "something broke",
+    "page introuvable", "accès refusé", "erreur interne du serveur", "momentanément indisponible", "session a expiré", "seite nicht gefunden", "zugriff verweigert", "interner serverfehler", "vorübergehend nicht erreichbar", "sitzung ist abgelaufen",
+    "página no encontrada", "acceso denegado", "error interno del servidor", "scripts desactivados", "страница не найдена", "доступ запрещ", "внутренняя ошибка сервера", "見つかりません", "サーバーエラー", "पृष्ठ नहीं मिला", "जावास्क्रिप्ट",
+    "your headline here", "your text here", "sample text", "placeholder text", "placeholder paragraph", "blindtext", "texte d’exemple", "texte de remplissage", "texto de relleno", "texto de prueba", "content to be added", "another blank site",
+]
+SIGNS = re.compile("|".join(map(re.escape, SIGN_PHRASES)))
 
 _SLOTS = [(name, re.compile(p)) for name, p in SLOTS.items()]
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -129,13 +134,13 @@ def examine(url: str | None, text: str | None) -> dict:
             if len(set(line)) > 5:
                 out["long"] = True
             continue
-        if len(low) <= 120 and SIGNS.search(low):
-            out["sign"] = True
+        sign = len(low) <= 120 and SIGNS.search(low) is not None
+        out["sign"] |= sign
         key = key_of(line)
         if key:
             footer = i >= len(lines) - 2 and line[-1] not in ".!?。।…"
             out["keys"].append(key)
-            out["spoken"].append(not footer and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
+            out["spoken"].append(not footer and not sign and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
     out["echo"] = bool(slug & told)
     longest = sorted((k for k in set(out["keys"]) if len(k) >= MIRRORED), key=lambda k: (-len(k), k))[:3]
     out["copy"] = zlib.crc32(("\n".join(longest) if len(longest) == 3 else text or "").encode("utf-8", "replace"))
