@@ -66,6 +66,7 @@ SIGNS = re.compile("|".join(map(re.escape, SIGN_PHRASES)))
 
 _SLOTS = [(name, re.compile(p)) for name, p in SLOTS.items()]
 _LETTERS = re.compile(r"[^\W\d_]+")
+_SLUG = re.compile(r"(?:\w+:)?(?://[^/?#]*)?(?:[^?#]*/)?([^/?#]*)")
 _NUMBERS = re.compile(r"\d+")
 _LATIN = re.compile(r"[^a-z0□]+")
 
@@ -106,11 +107,13 @@ def slots_of(line: str) -> tuple[str, list[str]]:
 
 def examine(url: str | None, text: str | None) -> dict:
     """Lines of a page: keys of short ones, slot lines, filler, and whether a long line holds content."""
-    out = {"keys": [], "spoken": [], "skeletons": [], "styles": [], "outside": [], "filler": False, "sign": False, "long": False, "echo": False}
+    out = {"keys": [], "spoken": [], "skeletons": [], "styles": [], "outside": [], "filler": False, "sign": False, "long": False, "echoes": []}
     lines = [x.strip() for x in (text or "").split("\n")]
     lines = [x for x in lines if x]
-    slug = set(w for w in _LETTERS.findall((url or "").rsplit("/", 1)[-1].lower()) if len(w) >= 4)
-    told: set[str] = set()
+    slug = set(w for w in _LETTERS.findall(_SLUG.match(url or "")[1].lower()) if len(w) >= 4)
+    foot = len(lines)  # a title just above a message is no footer
+    while foot > max(1, len(lines) - 2) and lines[foot - 1][-1] not in ".!?。।…" and not SIGNS.search(lines[foot - 1].lower()):
+        foot -= 1
     for i, line in enumerate(lines):
         masked, styles = slots_of(line)
         if styles:
@@ -126,7 +129,6 @@ def examine(url: str | None, text: str | None) -> dict:
                     continue
         low = line.lower()
         words = _LETTERS.findall(low)
-        told.update(words)
         if is_filler(words):
             out["filler"] = True
             continue
@@ -141,14 +143,15 @@ def examine(url: str | None, text: str | None) -> dict:
             footer = i >= len(lines) - 2 and line[-1] not in ".!?。।…"
             out["keys"].append(key)
             out["spoken"].append(not footer and not sign and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
-    out["echo"] = bool(slug & told)
+            if i < foot and not sign and not slug.isdisjoint(words):
+                out["echoes"].append(key)
     longest = sorted((k for k in set(out["keys"]) if len(k) >= MIRRORED), key=lambda k: (-len(k), k))[:3]
     out["copy"] = zlib.crc32(("\n".join(longest) if len(longest) == 3 else text or "").encode("utf-8", "replace"))
     return out
 
 
-_FIELDS = [("keys", pa.list_(pa.string())), ("spoken", pa.list_(pa.bool_())), ("skeletons", pa.list_(pa.int64())), ("styles", pa.list_(pa.string())), ("outside", pa.list_(pa.int32())), ("filler", pa.bool_()), ("sign", pa.bool_()), ("long", pa.bool_()), ("echo", pa.bool_())]
-_SCHEMA = "keys array<string>, spoken array<boolean>, skeletons array<bigint>, styles array<string>, outside array<int>, filler boolean, sign boolean, long boolean, echo boolean"
+_FIELDS = [("keys", pa.list_(pa.string())), ("spoken", pa.list_(pa.bool_())), ("skeletons", pa.list_(pa.int64())), ("styles", pa.list_(pa.string())), ("outside", pa.list_(pa.int32())), ("filler", pa.bool_()), ("sign", pa.bool_()), ("long", pa.bool_()), ("echoes", pa.list_(pa.string()))]
+_SCHEMA = "keys array<string>, spoken array<boolean>, skeletons array<bigint>, styles array<string>, outside array<int>, filler boolean, sign boolean, long boolean, echoes array<string>"
 
 
 def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "url", host: str = "host") -> DataFrame:
@@ -161,7 +164,8 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     Empty responses: title, address slug and body are set against what other hosts say. A line is a page's own
     if it stands in a few distinct texts at most, or always between the same lines (mirrors of one story); the
     first of a page's own lines is its title. A page has content if it has
-    more than a title of its own, a line of its own after a message, a long line, or names its address slug in its text. A line that many
+    more than a title of its own, a line of its own after a message, a long line, or names its address slug (without
+    query and fragment) in a line that is no message, filler, menu or footer. A line that many
     hosts share is a message if most pages with it have no content; filler is told by its words, messages
     too rare to judge by their wording. A page without content that says a message or filler is empty.
 
@@ -178,7 +182,7 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), copy, *arrays], names=["id", "host", "copy", *[n for n, _ in _FIELDS]])
 
     kind = df.schema[key].dataType.simpleString()
-    pages = durable(rows.mapInArrow(run, f"id {kind}, host string, copy bigint, {_SCHEMA}"))
+    pages = durable(rows.mapInArrow(run, f"id {kind}, host string, copy bigint, {_SCHEMA}").withColumn("page", F.monotonically_increasing_id()))
 
     skeletons = pages.select("id", F.explode(F.arrays_zip("skeletons", "styles", "outside")).alias("s")).select("id", "s.*")
     template = skeletons.groupBy("skeletons").agg(F.size(F.collect_set("styles")).alias("n_styles"))
@@ -201,18 +205,21 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     theirs = (F.col("texts") <= OWN) | (story & (F.col("hosts") >= HOSTS))
     own_lines = durable(lines.where("spoken").join(by_key.where(theirs).select("k"), "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos")))
     own = own_lines.groupBy("copy").agg(F.count("*").alias("own"))
-    full = pages.select("copy", (F.col("long") | F.col("echo")).alias("full")).groupBy("copy").agg(F.bool_or("full").alias("full"))
-    content = durable(full.join(own, "copy", "left").select("copy", (F.col("full") | (F.coalesce("own", F.lit(0)) >= 2)).alias("content")))
-
-    told = texts.join(content, "copy").groupBy("k").agg(F.count("*").alias("n"), F.count_if(~F.col("content")).alias("bare"))
+    # The slug counts for the page that bears it, not for its copies; what isn't theirs is a message, a menu or a footer.
+    thin = pages.where("not long").join(own, "copy", "left").where("coalesce(own, 0) < 2")
+    echo = thin.select("page", F.explode(F.array_distinct("echoes")).alias("k")).select("page", F.xxhash64("k").alias("k")).join(by_key.where(~theirs).select("k"), "k", "left_anti")
+    bare = durable(thin.select("page", "id", "copy", "filler", "sign").join(echo.select("page").distinct(), "page", "left_anti"))
+    bare_copies = bare.groupBy("copy").agg(F.count("*").alias("bare"))
+    share = pages.groupBy("copy").agg(F.count("*").alias("pages")).join(bare_copies, "copy").select("copy", (F.col("bare") / F.col("pages")).alias("bare"))
+
+    told = texts.join(share, "copy", "left").groupBy("k").agg(F.count("*").alias("n"), F.sum(F.coalesce("bare", F.lit(0.0))).alias("bare"))
     common = by_key.where(~theirs & (F.col("hosts") >= HOSTS) & (F.col("texts") >= TEXTS)).select("k")
     message = durable(told.where(F.col("bare") >= SHARE * F.col("n")).join(common, "k", "left_semi").select("k"))
     if message.count() <= MOST_BROADCAST:
         message = F.broadcast(message)
-    bare = content.where("not content").select("copy")
-    says = durable(lines.join(message, "k", "left_semi").join(bare, "copy", "left_semi").groupBy("copy").agg(F.min("pos").alias("first")))
+    says = durable(lines.join(message, "k", "left_semi").join(bare_copies, "copy", "left_semi").groupBy("copy").agg(F.min("pos").alias("first")))
     goes_on = own_lines.join(says, "copy").where("pos > first").select("copy").distinct()
-    state = bare.join(goes_on, "copy", "left_anti").join(says.select("copy", F.lit(True).alias("says")), "copy", "left")
-    empty = pages.join(state, "copy").where("says or filler or sign").select("id").distinct().withColumn("reason", F.lit("empty"))
+    state = bare_copies.select("copy").join(goes_on, "copy", "left_anti").join(says.select("copy", F.lit(True).alias("says")), "copy", "left")
+    empty = bare.join(state, "copy").where("says or filler or sign").select("id").distinct().withColumn("reason", F.lit("empty"))
     both = slots.unionByName(empty.join(slots.select("id"), "id", "left_anti"))
     return both.select(F.col("id").alias(key), "reason")

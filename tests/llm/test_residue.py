@@ -68,3 +68,26 @@ def test_mirrors_and_empty(spark):
     docs = [(i, f"http://h{i}/x", f"h{i}", page, "x") for i in range(40)]
     assert residue(spark.createDataFrame(docs, DOC)).count() == 0
     assert residue(spark.createDataFrame([], DOC)).count() == 0
+
+
+@pytest.mark.parametrize("url,line,echoes", [("http://h/a/mill-7", "The mill", True), ("http://h/a/mill-7?page=2#more", "Show this page", False), ("http://h/a/p?ref=x/page", "Show this page", False), ("http://mill.example", "The mill", False), ("http://h/a/page-7", "Page not found", False), ("http://h/a/lorem", "Lorem ipsum dolor sit", False)])
+def test_echo_of_the_slug(url, line, echoes):
+    assert bool(examine(url, line)["echoes"]) == echoes and not examine(None, line)["echoes"]
+
+
+def test_slug_in_messages_and_copies(spark):
+    docs = corpus()
+    gone = "Home | News\nPage not found. It was moved.\nAll rights reserved {}os"
+    want = {d[0] for d in docs if "not found" in d[3]}
+    docs += [(600, "http://n/sobujo-1?page=2", "n", gone.format("n"), "x"), (601, "http://n/sobujo-2", "n", gone.format("n"), "x")]
+    docs += [(602, "http://n/moved-3", "n", gone.format("n"), "x"), (603, "http://n/news", "n", gone.format("n"), "x"), (604, "http://n/rights", "n", gone.format("n"), "x")]
+    docs += [(605, "http://n/kilorin-4", "n", "Home | News\nThe bridge of Kilorin\nPage not found. It was moved.\nAll rights reserved nos", "x")]
+    got = {r["doc_id"] for r in residue(spark.createDataFrame(docs, DOC)).collect()}
+    assert got == want | {600, 601, 602, 603, 604}
+
+
+def test_one_page_of_a_copy_bears_the_slug(spark):
+    text = "Home | News\nThe bridge of Kilorin\nPage not found. It was moved."
+    docs = corpus() + [(700, "http://n/kilorin", "n", text, "x"), (701, "http://n/other", "n", text, "x")]
+    got = {r["doc_id"] for r in residue(spark.createDataFrame(docs, DOC)).collect()}
+    assert 701 in got and 700 not in got
