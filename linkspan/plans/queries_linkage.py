@@ -255,7 +255,7 @@ def pair_auc(spark, d):
 
 def validate_findings(spark, d):
     lists = _pairs(spark, d).groupBy("source1_entity_id").agg(F.array_join(F.array_sort(F.collect_set("candidate_entity_id")), ",").alias("ids"))
-    return findings(lists, records(spark, d, "test_source1"), records(spark, d, "test_source2"))
+    return findings(lists, records(spark, d, "test_source1"), pool(spark, d))
 
 
 def validate_subset(spark, d):

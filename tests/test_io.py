@@ -80,3 +80,14 @@ def test_validator_command(spark, tmp_path, capsys):
     good.write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\n")
     assert main(args) == 0 and main([*args, "--check-ids"]) == 1
     assert "neither candidate source" in capsys.readouterr().out
+
+
+def test_ids_of_both_candidate_sources_are_known(spark, tmp_path):
+    from linkspan.plans.queries_linkage import QUERIES
+
+    for i, ids in ((1, ["S1-1", "S1-2"]), (2, ["S2-1"]), (3, ["S3-1"])):
+        spark.createDataFrame([(x, "a", "b", "c") for x in ids], KIND).write.parquet(str(tmp_path / f"test_source{i}.parquet"))
+    pairs = [("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S3-1"), ("S1-2", "S2-9"), ("S1-2", "S3-9")]
+    spark.createDataFrame(pairs, "source1_entity_id string, candidate_entity_id string").write.parquet(str(tmp_path / "candidate_pairs.parquet"))
+    got = sorted(map(tuple, QUERIES["validate_findings"](spark, str(tmp_path)).collect()))
+    assert got == [("unknown_id", "S1-2", "S2-9"), ("unknown_id", "S1-2", "S3-9")]
