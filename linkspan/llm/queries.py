@@ -32,17 +32,17 @@ def p2_found(spark, d):
     return top_n(pairs, "source1_entity_id", "candidate_entity_id", "total_priority", 10).select("source1_entity_id", "candidate_entity_id")
 
 
-def _terms(spark, d):
+def _terms(spark, d, n):
     rows = records(spark, d, "test_source2")
-    return marked(term_frequencies(rows, "entity_id", ["business_name", "business_address"], 3), rows.count())
+    return marked(term_frequencies(rows, "entity_id", ["business_name", "business_address"], n), rows.count())
 
 
 def p3_found(spark, d):
-    return _terms(spark, d).where("n = 1 and mark is not null").select("field", "term", "mark")
+    return _terms(spark, d, 3).where("n = 1 and mark is not null").select("field", "term", "mark")
 
 
 def p3_ngrams(spark, d):
-    return _terms(spark, d).select("field", "n", "term", "occurrences", "records", "mark")
+    return _terms(spark, d, None).select("field", "n", "term", "occurrences", "records", "mark")
 
 
 def p4_matches(spark, d):

@@ -118,3 +118,29 @@ def test_terms_against_brute_force(spark):
 def test_marks(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (51,)], "records long")
     assert [r["mark"] for r in marked(df, 100).orderBy("records").collect()] == ["rare", None, "common", "common"]
+
+
+def test_terms_of_every_length(spark):
+    rng = random.Random(5)
+    texts = [None, "", "a b a b a b a", "the " * 30, "a-b_c d e f g h i j", "x" * 50000 + " a b c d"] + [" ".join(rng.choice("ab1") for _ in range(rng.randrange(0, 12))) for _ in range(80)]
+    df = spark.createDataFrame([(f"r{i}", t, texts[-i - 1]) for i, t in enumerate(texts)], "rec string, f1 string, f2 string")
+    want = {}
+    for r in df.collect():
+        for f in ("f1", "f2"):
+            terms = [x.lower() for x in re.findall("[A-Za-z0-9]+", r[f] or "")]
+            for i in range(len(terms)):
+                for j in range(i + 1, len(terms) + 1):
+                    o = want.setdefault((f, j - i, " ".join(terms[i:j])), [0, set()])
+                    o[0] += 1
+                    o[1].add(r["rec"])
+    rows = term_frequencies(df, "rec", ["f1", "f2"], None).collect()
+    got = {(r["field"], r["n"], r["term"]): (r["occurrences"], r["records"]) for r in rows}
+    assert len(rows) == len(got) and got == {k: (o, len(s)) for k, (o, s) in want.items()} and max(k[1] for k in got) == 30
+
+
+def test_ngrams_have_no_bound(spark, small):
+    from linkspan.llm.queries import QUERIES
+
+    longest = QUERIES["p3_ngrams"](spark, small).agg(F.max("n")).first()[0]
+    values = spark.read.parquet(f"{small}/test_source2.parquet").select("business_name", "business_address").collect()
+    assert longest == max(len(re.findall("[A-Za-z0-9]+", v or "")) for r in values for v in r) > 3
