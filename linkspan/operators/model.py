@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -20,6 +22,15 @@ KINDS = ("logistic_regression", "xgboost", "xgboost_weighted", "random_forest")
 POSITIVE_WEIGHT = 5.2
 
 
+def _interpolated(xs: list[float], ys: list[float]):
+    """A UDF: the curve through all points, flat beyond its ends. xs ascend; each value is looked up by binary search."""
+
+    def at(score: pd.Series) -> pd.Series:
+        return pd.Series(np.interp(score, xs, ys))
+
+    return F.pandas_udf(at, "double")
+
+
 class MatchModel:
     """A classifier by kind: logistic_regression, xgboost, xgboost_weighted (both boosted trees) or random_forest.
 
@@ -92,13 +103,7 @@ class MatchModel:
         if self.calibration and self.calibration["method"] == "sigmoid":
             score = 1 / (1 + F.exp(-(F.lit(self.calibration["a"]) * F.col("score") + F.lit(self.calibration["b"]))))
         elif self.calibration:
-            xs, ys = self.calibration["x"], self.calibration["y"]
-            at = F.col("score")
-            score = F.lit(ys[-1])
-            for i in reversed(range(len(xs) - 1)):
-                slope = (ys[i + 1] - ys[i]) / (xs[i + 1] - xs[i]) if xs[i + 1] > xs[i] else 0.0
-                score = F.when(at < xs[i + 1], F.lit(ys[i]) + slope * (at - F.lit(xs[i]))).otherwise(score)
-            score = F.when(at <= xs[0], F.lit(ys[0])).otherwise(score)
+            score = _interpolated(self.calibration["x"], self.calibration["y"])(score)
         out = self._scored(df).withColumn("score", score).select(*df.columns, "score")
         self.seconds["inference"] = time.time() - start
         return out
@@ -117,9 +122,7 @@ class MatchModel:
             self.calibration = {"method": method, "a": float(fit.coefficients[0]), "b": float(fit.intercept)}
         else:
             fit = IsotonicRegression(featuresCol="score").fit(df)
-            x, y = list(map(float, fit.boundaries)), list(map(float, fit.predictions))
-            keep = range(0, len(x), max(1, len(x) // 200))  # a step function of at most about 200 steps
-            self.calibration = {"method": method, "x": [x[i] for i in keep], "y": [y[i] for i in keep]}
+            self.calibration = {"method": method, "x": list(map(float, fit.boundaries)), "y": list(map(float, fit.predictions))}
         return self
 
     def importances(self, spark: SparkSession) -> DataFrame:

@@ -61,3 +61,15 @@ def test_end_to_end(spark, training, tmp_path):
     assert lists.count() == 30 and lists.columns == ["source1_entity_id", "matched_entity_ids"]
     reloaded, _ = match(s1, cand, model, Settings(threshold=0.5, candidate_file=str(tmp_path / "out" / "candidate_pairs.tsv")))
     assert reloaded.count() > 0
+
+
+def test_isotonic_curve_keeps_every_boundary(spark):
+    df = spark.range(1, 1001).selectExpr("id / 1000 as s", "pow(id / 1000, 2) as match_label")
+    model = MatchModel()
+    model._scored = lambda df: df.withColumn("score", df["s"])
+    model.calibrate(df, "isotonic")
+    assert len(model.calibration["x"]) == 1000
+    got = {r["s"]: r["score"] for r in model.predict_proba(df).collect()}
+    assert got == pytest.approx({s: s * s for s in got}, abs=1e-9) and got[1.0] == 1.0
+    beyond = spark.createDataFrame([(0.0, 0.0), (2.0, 0.0), (0.9995, 0.0)], "s double, match_label double")
+    assert sorted(r["score"] for r in model.predict_proba(beyond).collect()) == pytest.approx([1e-6, (0.998001 + 1) / 2, 1.0])
