@@ -163,8 +163,8 @@ def parsed(df: DataFrame, key: str, text: str, keep: list[str] = []) -> DataFram
     return df.select(key, text, *keep).mapInArrow(run, f"`{key}` string, {kept}{PARSED}")
 
 
-def streets(df: DataFrame, key: str, name: str | None = None, skeletons: bool = True) -> DataFrame:
-    """(key, num, code, words, native) and the fields of STREET from parsed rows with rewritten words.
+def streets(df: DataFrame, key: str, name: str | None = None, skeletons: bool = True, keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """(key, num, code, words, native), the text columns of `keep` and the fields of STREET from parsed rows with rewritten words.
 
     With the column `name`, the fields of names.NAME as well. Only the side that is compared with Indic words needs skeletons.
     """
@@ -180,8 +180,9 @@ def streets(df: DataFrame, key: str, name: str | None = None, skeletons: bool =
             if more:
                 found = [N.fields(x, skeletons) for x in b.column(name).to_pylist()]
                 arrays += [pa.array([g[n] for g in found], k) for n, k in more]
-            kept = [key, "num", "code", "words", "native"]
+            kept = [key, "num", "code", "words", "native", *keep]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + arrays, names=[*kept, *[n for n, _ in fields + more]])
 
-    schema = f"`{key}` string, num string, code string, words array<string>, native array<string>, {STREET}" + (f", {N.NAME}" if more else "")
-    return df.select(key, "num", "code", "words", "native", "segs", "at", *([name] if name else [])).mapInArrow(run, schema)
+    texts = "".join(f"`{c}` string, " for c in keep)
+    schema = f"`{key}` string, num string, code string, words array<string>, native array<string>, {texts}{STREET}" + (f", {N.NAME}" if more else "")
+    return df.select(key, "num", "code", "words", "native", "segs", "at", *keep, *([name] if name else [])).mapInArrow(run, schema)

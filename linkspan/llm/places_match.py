@@ -80,15 +80,14 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return lk.join(rk, "k").select("l_rid", "r_rid")
 
 
-def prepared(left: DataFrame, right: DataFrame, address: str = "business_address", name: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def prepared(left: DataFrame, right: DataFrame, address: str = "business_address", name: str | None = None, keep: list[str] = []) -> tuple[DataFrame, DataFrame, DataFrame]:  # noqa: B006
     """Streets of both tables (columns id and address) after all rewrites, and the rewrites. rid numbers the rows of a side.
 
-    With the column `name`, name fields as well.
+    With the column `name`, name fields as well, and the text columns of `keep` as they are.
     """
-    keep = [name] if name else []
-    read = [durable(parsed(x, "id", address, keep)) for x in (left, right)]
+    read = [durable(parsed(x, "id", address, [*([name] if name else []), *keep])) for x in (left, right)]
     l, r, rules = normalised(*read)
-    out = tuple(durable(streets(x, "id", name, x is l).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r))
+    out = tuple(durable(streets(x, "id", name, x is l, keep).withColumn("rid", F.monotonically_increasing_id())) for x in (l, r))
     release(*read)
     return (*out, rules)
 
