@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -54,6 +55,54 @@ def jaro_winkler_pair(a: str, b: str) -> float:
     return sim
 
 
+#: Longest texts that are compared side by side; longer ones one pair at a time.
+SIDE_BY_SIDE = (16, 32, 64, 128)
+
+
+def _codes(texts: list[str], width: int, fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts, one row each, filled up to the width; and their lengths."""
+    sizes = np.array([len(t) for t in texts])
+    out = np.full((len(texts), width), fill, np.uint32)
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out, sizes
+
+
+def jaro_winkler_pairs(a: list[str], b: list[str], width: int) -> np.ndarray:
+    """jaro_winkler_pair of many pairs at once, none longer than width or empty: one numpy step for each position."""
+    (x, la), (y, lb) = _codes(a, width, 0xFFFFFFFE), _codes(b, width, 0xFFFFFFFF)
+    rows, at = np.arange(len(a)), np.arange(width)
+    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)[:, None]
+    left, used = np.zeros(x.shape, bool), np.zeros(y.shape, bool)
+    for i in range(int(la.max())):
+        free = (y == x[:, i : i + 1]) & ~used & (np.abs(at - i) <= window)
+        j = free.argmax(axis=1)
+        hit = free[rows, j]
+        left[:, i] = hit
+        used[rows[hit], j[hit]] = True
+    m = left.sum(axis=1)
+    in_order = lambda z, mask: np.take_along_axis(z, np.argsort(~mask, axis=1, kind="stable"), axis=1)
+    swaps = ((in_order(x, left) != in_order(y, used)) & (at < m[:, None])).sum(axis=1) // 2
+    some = np.maximum(m, 1)
+    sim = np.where(m > 0, (m / la + m / lb + (m - swaps) / some) / 3, 0.0)
+    prefix = np.cumprod(x[:, :4] == y[:, :4], axis=1).sum(axis=1)
+    return np.where(sim > 0.7, sim + 0.1 * prefix * (1 - sim), sim)
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler_pair(x, y) for x, y in zip(a, b)], dtype="float64")
+    """Similarity of each pair, null if a side is; each distinct pair of a batch is compared once."""
+    slots: dict[tuple[str, str], int] = {}
+    where = [slots.setdefault((x, y), len(slots)) if x is not None and y is not None else -1 for x, y in zip(a, b)]
+    pairs = list(slots)
+    out = np.empty(len(pairs) + 1)
+    out[-1] = np.nan
+    widths = np.array([max(len(x), len(y)) if x and y and x != y else 0 for x, y in pairs] or [0])
+    least = 0
+    for width in SIDE_BY_SIDE:
+        chosen = np.flatnonzero((widths > least) & (widths <= width))
+        if len(chosen):
+            out[chosen] = jaro_winkler_pairs([pairs[i][0] for i in chosen], [pairs[i][1] for i in chosen], width)
+        least = width
+    for i in np.flatnonzero((widths == 0) | (widths > least))[: len(pairs)]:
+        out[i] = jaro_winkler_pair(*pairs[i])
+    return pd.Series(out[where], dtype="float64").astype(object).where(np.array(where) >= 0, None) if -1 in where else pd.Series(out[where])

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from linkspan.functions import regexes as R
 from linkspan.functions.text import ascii_alnum, lowered, present, split_on_blank, trimmed
+from linkspan.plans.durable import durable
 
 # Address words that are no anchors.
 ADDRESS_STOPWORDS = (
@@ -118,7 +119,10 @@ def channel_pairs(s1: DataFrame, candidates: DataFrame, conf: Blocking | None =
     Both tables need entity_id (unique), business_name, business_address and country. Pairs share a country.
     """
     conf = conf or Blocking()
-    left, right = _shared_country(keyed(s1, "s1_id", conf), keyed(candidates, "candidate_id", conf))
+    keys = keyed(s1, "s1_id", conf), keyed(candidates, "candidate_id", conf)
+    if len(conf.channels) > 1:  # every channel reads them
+        keys = tuple(durable(k) for k in keys)
+    left, right = _shared_country(*keys)
     long = lambda c, n: F.when(F.length(c) >= n, F.col(c))
     name_tokens = candidate_tokens(right, "name_tokens", 4)
     address_tokens = candidate_tokens(right, "address_tokens", 5, ADDRESS_STOPWORDS)

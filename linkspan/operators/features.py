@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from linkspan.functions import regexes as R
 from linkspan.functions import text as T
 from linkspan.functions.udfs import jaro_winkler, nfkc
+from linkspan.plans.durable import durable, release
 
 # Address words that don't count as tokens, and words that many business names share.
 ADDRESS_STOPWORDS = (
@@ -76,19 +77,37 @@ def _clean(c: Column) -> Column:
     return F.coalesce(nfkc(F.regexp_replace(c, R.STRIP, "")), F.lit(""))
 
 
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def described(df: DataFrame) -> DataFrame:
-    """(id, country, n_..., a_...): everything about a record that its pairs compare, null texts as empty ones."""
-    base = df.select(F.col("entity_id").alias("id"), F.coalesce("country", F.lit("")).alias("country"), _clean(F.col("business_name")).alias("n"), _clean(F.col("business_address")).alias("a"))
+    """(id, ...): everything about a record that its pairs compare, in narrow form; null texts count as empty ones.
+
+    Only equality of texts and of their parts is ever asked for, except of the plain name, so pairs carry 64-bit
+    hashes (null for an empty text) and arrays of them in place of the texts.
+    """
+    base = df.select(F.col("entity_id").alias("id"), "country", _clean(F.col("business_name")).alias("n"), _clean(F.col("business_address")).alias("a"))
     n, a = F.col("n"), F.translate(F.col("a"), _DIGITS, "0123456789" * (len(_DIGITS) // 10))
-    stop = F.array(*[F.lit(w) for w in ADDRESS_STOPWORDS])
-    return base.select(
-        "id", "country", "n", "a",
-        F.lower(n).alias("n_low"), F.lower(T.stripped_legal(n)).alias("n_legal"), F.lower(T.stripped_domain(n)).alias("n_domain"), T.alnum(n).alias("n_alnum"),
-        T.trigrams(T.alnum(n)).alias("n_grams"), T.words(n, 2).alias("n_words"), n.rlike(R.LEGAL_UNICODE).alias("n_has_form"), F.lower(F.regexp_extract(n, R.LEGAL_UNICODE, 1)).alias("n_form"),
-        T.has_native(n).alias("n_native"), n.rlike(r"[^\x00-\x7F]").alias("n_beyond_ascii"), n.rlike(R.DOMAIN_UNICODE).alias("n_url"), n.rlike(R.PREFIX_UNICODE).alias("n_noise"),
-        F.lower("a").alias("a_low"), F.filter(T.words(F.col("a"), 3), lambda w: ~F.array_contains(stop, w)).alias("a_words"), T.words(F.col("a"), 2).alias("a_all"),
-        F.coalesce(T.first_number(a), F.lit("")).alias("a_number"), T.numbers(a).alias("a_numbers"), T.postal_codes(F.col("a")).alias("a_postal"),
+    stop, business = (F.array(*[F.lit(w) for w in words]) for words in (ADDRESS_STOPWORDS, BUSINESS_WORDS))
+    parts = base.select(
+        "*", T.alnum(n).alias("n_alnum"), T.words(n, 2).alias("n_words"), F.lower(F.regexp_extract(n, R.LEGAL_UNICODE, 1)).alias("n_form"),
+        F.filter(T.words(F.col("a"), 3), lambda w: ~F.array_contains(stop, w)).alias("a_words"), T.words(F.col("a"), 2).alias("a_all"),
     )
+    known = lambda c: F.when(c != "", F.xxhash64(c))
+    first, last = (lambda c: F.xxhash64(F.get(c, F.lit(0)))), (lambda c: F.xxhash64(F.try_element_at(c, F.lit(-1))))
+    some = lambda c, v: F.when(F.size(c) > 0, v(F.col(c)))
+    return parts.select(
+        "id", known(F.col("country")).alias("country"), (n != "").alias("n_has"), (F.col("a") != "").alias("a_has"), "n_alnum",
+        known(F.lower(n)).alias("n_low"), known(F.lower(T.stripped_legal(n))).alias("n_legal"), known(F.lower(T.stripped_domain(n))).alias("n_domain"),
+        _hashed(T.trigrams(F.col("n_alnum"))).alias("n_grams"), _hashed(F.array_distinct("n_words")).alias("n_set"), F.size("n_words").alias("n_count"),
+        some("n_words", first).alias("n_first"), some("n_words", last).alias("n_last"), _hashed(F.array_intersect("n_words", business)).alias("n_business"),
+        n.rlike(R.LEGAL_UNICODE).alias("n_has_form"), known(F.col("n_form")).alias("n_form"), T.has_native(n).alias("n_native"), n.rlike(r"[^\x00-\x7F]").alias("n_beyond_ascii"),
+        n.rlike(R.DOMAIN_UNICODE).alias("n_url"), n.rlike(R.PREFIX_UNICODE).alias("n_noise"),
+        known(F.lower("a")).alias("a_low"), _hashed(F.array_distinct("a_words")).alias("a_set"), F.size("a_words").alias("a_count"),
+        some("a_all", first).alias("a_first"), some("a_all", last).alias("a_last"), F.xxhash64(T.first_number(a)).alias("_number"), T.first_number(a).isNotNull().alias("_numbered"),
+        _hashed(T.numbers(a)).alias("a_numbers"), _hashed(T.postal_codes(F.col("a"))).alias("a_postal"),
+    ).withColumn("a_number", F.when(F.col("_numbered"), F.col("_number"))).drop("_number", "_numbered")
 
 
 def _flag(c: Column) -> Column:
@@ -96,14 +115,12 @@ def _flag(c: Column) -> Column:
 
 
 def _sets(x: Column, y: Column) -> dict[str, Column]:
-    """Comparisons of two word lists as sets; 0 where one is empty."""
-    both = (F.size(x) > 0) & (F.size(y) > 0)
-    dx, dy = F.array_distinct(x), F.array_distinct(y)
-    shared = F.size(F.array_intersect(dx, dy))
-    held = lambda v: F.when(both, v).otherwise(F.lit(0.0)).cast("float")
+    """Comparisons of two sets of words; 0 where one is empty."""
+    nx, ny, shared = F.size(x), F.size(y), F.size(F.array_intersect(x, y))
+    held = lambda v: F.when((nx > 0) & (ny > 0), v).otherwise(F.lit(0.0)).cast("float")
     return {
-        "jaccard": held(shared / F.size(F.array_union(dx, dy))), "overlap": held(shared / F.least(F.size(dx), F.size(dy))), "shared": held(shared),
-        "left_in": held((F.size(F.array_except(dx, dy)) == 0).cast("double")), "right_in": held((F.size(F.array_except(dy, dx)) == 0).cast("double")),
+        "jaccard": held(shared / (nx + ny - shared)), "overlap": held(shared / F.least(nx, ny)), "shared": held(shared),
+        "left_in": held((shared == nx).cast("double")), "right_in": held((shared == ny).cast("double")),
     }
 
 
@@ -113,39 +130,34 @@ def pair_features(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> Dat
     An id that its table lacks has empty fields. Provenance columns of pairs are passed on where pairs has
     them (fired_chan_a tells) and are 0 otherwise.
     """
-    left = described(s1).select(*[F.col(c).alias(f"l_{c}") for c in described(s1).columns])
-    right = described(candidates)
-    right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+    left, right = (d.select(*[F.col(c).alias(f"{s}_{c}") for c in d.columns]) for s, d in (("l", described(s1)), ("r", described(candidates))))
     x = pairs.join(left, pairs["source1_entity_id"] == left["l_id"], "left").join(right, pairs["candidate_entity_id"] == right["r_id"], "left")
-    blank = {c: "" for c, k in x.dtypes if c[:2] in ("l_", "r_") and k == "string"}
-    x = x.fillna(blank)
-    for c, k in x.dtypes:
-        if c[:2] in ("l_", "r_") and k == "array<string>":
-            x = x.withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
+    defaults = {"boolean": F.lit(False), "array<bigint>": F.array().cast("array<bigint>"), "int": F.lit(0), "string": F.lit("")}
+    x = x.withColumns({c: F.coalesce(c, defaults[k]) for c, k in x.dtypes if c[:2] in ("l_", "r_") and k in defaults})
     l, r = (lambda c: F.col(f"l_{c}")), (lambda c: F.col(f"r_{c}"))
-    named, placed = (l("n") != "") & (r("n") != ""), (l("a") != "") & (r("a") != "")
+    named, placed = l("n_has") & r("n_has"), l("a_has") & r("a_has")
     spelled = named & (l("n_alnum") != "") & (r("n_alnum") != "")
     when = lambda cond, v: F.when(cond, v).otherwise(F.lit(0.0)).cast("float")
-    same = lambda c: (l(c) != "") & (l(c) == r(c))
-    words, address = _sets(l("n_words"), r("n_words")), _sets(l("a_words"), r("a_words"))
-    business = F.array(*[F.lit(w) for w in BUSINESS_WORDS])
-    grams = F.size(F.array_intersect(l("n_grams"), r("n_grams"))) / F.size(F.array_union(l("n_grams"), r("n_grams")))
+    same = lambda c: l(c) == r(c)
+    words, address = _sets(l("n_set"), r("n_set")), _sets(l("a_set"), r("a_set"))
+    shared_grams = F.size(F.array_intersect(l("n_grams"), r("n_grams")))
+    grams = shared_grams / (F.size(l("n_grams")) + F.size(r("n_grams")) - shared_grams)
+    differ = spelled & (l("n_alnum") != r("n_alnum"))
+    winkler = F.coalesce(jaro_winkler(F.when(differ, l("n_alnum")), F.when(differ, r("n_alnum"))), F.lit(1.0))
     lengths = F.length(l("n_alnum")), F.length(r("n_alnum"))
-    form_l, form_r = F.coalesce(l("n_has_form"), F.lit(False)), F.coalesce(r("n_has_form"), F.lit(False))
-    native_l, native_r = F.coalesce(l("n_native"), F.lit(False)), F.coalesce(r("n_native"), F.lit(False))
+    form_l, form_r, native_l, native_r = l("n_has_form"), r("n_has_form"), l("n_native"), r("n_native")
     shared_numbers = F.size(F.array_intersect(l("a_numbers"), r("a_numbers")))
     both_postal = (F.size(l("a_postal")) > 0) & (F.size(r("a_postal")) > 0)
     shared_postal = F.size(F.array_intersect(l("a_postal"), r("a_postal"))) > 0
-    ends = lambda c, at: (F.size(l(c)) > 0) & (F.size(r(c)) > 0) & (F.try_element_at(l(c), F.lit(at)) == F.try_element_at(r(c), F.lit(at)))
     out = {
         "country_exact_match": _flag(same("country")),
-        "country_missing_either": _flag((l("country") == "") | (r("country") == "")),
-        "name_raw_exact": when(named, _flag(l("n_low") == r("n_low"))),
+        "country_missing_either": _flag(l("country").isNull() | r("country").isNull()),
+        "name_raw_exact": when(named, _flag(same("n_low"))),
         "name_legal_stripped_exact": when(named, _flag(same("n_legal"))),
         "name_domain_stripped_exact": when(named, _flag(same("n_domain"))),
-        "name_alphanumeric_exact": when(named, _flag(same("n_alnum"))),
-        "name_levenshtein_sim": when(spelled, T.similarity(l("n_alnum"), r("n_alnum"))),
-        "name_jaro_winkler_sim": when(spelled, jaro_winkler(l("n_alnum"), r("n_alnum"))),
+        "name_alphanumeric_exact": when(spelled, _flag(same("n_alnum"))),
+        "name_levenshtein_sim": when(spelled, F.when(~differ, 1.0).otherwise(T.similarity(l("n_alnum"), r("n_alnum")))),
+        "name_jaro_winkler_sim": when(spelled, winkler),
         "name_char_3gram_jaccard": when(spelled, grams),
         "name_length_diff": when(spelled, F.abs(lengths[0] - lengths[1])),
         "name_length_ratio": when(spelled, F.least(*lengths) / F.greatest(*lengths)),
@@ -154,33 +166,33 @@ def pair_features(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> Dat
         "name_token_containment_s1": when(named, words["left_in"]),
         "name_token_containment_cand": when(named, words["right_in"]),
         "name_shared_token_count": when(named, words["shared"]),
-        "name_token_count_diff": when(named, F.abs(F.size(l("n_words")) - F.size(r("n_words")))),
-        "name_first_token_match": when(named, _flag(ends("n_words", 1))),
-        "name_last_token_match": when(named, _flag(ends("n_words", -1))),
-        "legal_suffix_agreement": when(named, _flag((~form_l & ~form_r) | (form_l & form_r & (l("n_form") == r("n_form"))))),
-        "legal_suffix_mismatch": when(named, _flag(form_l & form_r & (l("n_form") != r("n_form")))),
-        "business_word_overlap_count": when(named, F.size(F.array_intersect(F.array_intersect(l("n_words"), r("n_words")), business))),
+        "name_token_count_diff": when(named, F.abs(l("n_count") - r("n_count"))),
+        "name_first_token_match": when(named, _flag(same("n_first"))),
+        "name_last_token_match": when(named, _flag(same("n_last"))),
+        "legal_suffix_agreement": when(named, _flag((~form_l & ~form_r) | (form_l & form_r & same("n_form")))),
+        "legal_suffix_mismatch": when(named, _flag(form_l & form_r & ~same("n_form"))),
+        "business_word_overlap_count": when(named, F.size(F.array_intersect(l("n_business"), r("n_business")))),
         "name_both_latin": when(named, _flag(~native_l & ~native_r)),
         "name_cross_script": when(named, _flag(native_l != native_r)),
         "name_has_non_ascii": when(named, _flag(l("n_beyond_ascii") | r("n_beyond_ascii"))),
         "name_missing_either": _flag(~named),
-        "address_raw_exact": when(placed, _flag(l("a_low") == r("a_low"))),
+        "address_raw_exact": when(placed, _flag(same("a_low"))),
         "address_token_jaccard": when(placed, address["jaccard"]),
         "address_token_overlap_coef": when(placed, address["overlap"]),
         "address_shared_token_count": when(placed, address["shared"]),
         "address_token_containment": when(placed, F.greatest(address["left_in"], address["right_in"])),
-        "address_token_count_diff": when(placed, F.abs(F.size(l("a_words")) - F.size(r("a_words")))),
-        "address_first_token_match": when(placed, _flag(ends("a_all", 1))),
-        "address_last_token_match": when(placed, _flag(ends("a_all", -1))),
+        "address_token_count_diff": when(placed, F.abs(l("a_count") - r("a_count"))),
+        "address_first_token_match": when(placed, _flag(same("a_first"))),
+        "address_last_token_match": when(placed, _flag(same("a_last"))),
         "address_building_num_match": when(placed, _flag(same("a_number"))),
         "address_shared_numeric_count": when(placed, shared_numbers),
-        "address_numeric_token_jaccard": when(placed & (shared_numbers > 0), shared_numbers / F.size(F.array_union(l("a_numbers"), r("a_numbers")))),
+        "address_numeric_token_jaccard": when(placed & (shared_numbers > 0), shared_numbers / (F.size(l("a_numbers")) + F.size(r("a_numbers")) - shared_numbers)),
         "address_has_shared_numeric": when(placed, _flag(shared_numbers > 0)),
         "address_postal_exact_match": when(placed & both_postal, _flag(shared_postal)),
         "address_postal_both_present": when(placed, _flag(both_postal)),
         "address_postal_mismatch": when(placed & both_postal, _flag(~shared_postal)),
-        "address_missing_s1": _flag(l("a") == ""),
-        "address_missing_cand": _flag(r("a") == ""),
+        "address_missing_s1": _flag(~l("a_has")),
+        "address_missing_cand": _flag(~r("a_has")),
         "candidate_is_source2": _flag(F.col("candidate_entity_id").startswith("S2-")),
         "candidate_is_source3": _flag(F.col("candidate_entity_id").startswith("S3-")),
         "cand_name_has_url": _flag(r("n_url")),
@@ -191,10 +203,10 @@ def pair_features(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> Dat
 
 
 def provenance(columns: list[str]) -> dict[str, Column]:
-    """Blocking provenance as features; 0 if the pairs carry none."""
+    """Blocking provenance as features; 0 if the pairs carry none. A null or NaN takes the default."""
     if "fired_chan_a" not in columns:
         return {n: F.lit(0.0).cast("float") for n in GROUPS["provenance"]}
-    take = lambda c, d: F.coalesce(F.col(c), F.lit(d)).cast("float") if c in columns else F.lit(0.0).cast("float")
+    take = lambda c, d: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(float(d))), F.lit(float(d))).cast("float") if c in columns else F.lit(0.0).cast("float")
     return {c: take(c, 0) for c in CHANNEL_FLAGS} | {"channels_fired_count": take("channels_fired", 1), "blocking_priority_score": take("total_priority", 0), "blocking_rank_order": take("rank_order", 1)}
 
 
@@ -219,10 +231,47 @@ def attach_labels(df: DataFrame, truth: DataFrame) -> DataFrame:
     return df.join(truth.select(*keys, F.lit(1).alias("match_label")).distinct(), keys, "left").fillna(0, ["match_label"])
 
 
+#: Hashes that may be ordered in one task; more are narrowed further by their next bits.
+FEW = 10_000
+
+
+def _last_of_first(hashes: DataFrame, k: int) -> tuple[int, str] | None:
+    """(h, id) at position k (from 1) of the rows (h, id), h by its bits and then id in order; null if there are none.
+
+    Each round counts the rows by the next 12 bits of h, so the driver sees 4,096 counts whatever the data, and
+    keeps those that share the bits in which the position falls, until few are left.
+    """
+    if k < 1:
+        return None
+    bits, at = 64, hashes
+    while bits > 0:
+        step = min(12, bits)
+        bits -= step
+        cell = F.shiftrightunsigned("h", bits).bitwiseAND((1 << step) - 1)
+        for c, n in sorted(tuple(r) for r in at.groupBy(cell.alias("c")).count().collect()):
+            if k <= n:
+                break
+            k -= n
+        at = at.where(cell == c)
+        if n <= FEW:
+            break
+    unsigned = F.shiftrightunsigned("h", 1)
+    return tuple(at.orderBy(unsigned, F.col("h").bitwiseAND(1), "id").limit(k).collect()[-1])
+
+
 def split_groups(df: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
-    """df with split_group: floor(n * share) of its n S1 records are `val`, all others `train`, whole records at a time."""
-    ids = df.select("source1_entity_id").distinct()
-    n = ids.count()
-    # The smallest hashes; a range sort and one limit, no window over all records.
-    val = ids.orderBy(F.xxhash64("source1_entity_id", F.lit(seed)), "source1_entity_id").limit(int(n * share)).withColumn("split_group", F.lit("val"))
-    return df.join(val, "source1_entity_id", "left").fillna("train", ["split_group"])
+    """df with split_group: floor(n * share) of its n S1 records are `val`, all others `train`, whole records at a time.
+
+    The records of smallest hash are `val`; the last of them is found from counts, and each row is then told by
+    its own hash, without a join. A null id is a record as any other.
+    """
+    key = F.coalesce(F.col("source1_entity_id").cast("string"), F.lit(""))
+    hash_of = F.xxhash64(key, F.lit(seed))
+    ids = durable(df.select(key.alias("id")).distinct().select(F.xxhash64("id", F.lit(seed)).alias("h"), "id"))
+    last = _last_of_first(ids, int(ids.count() * share))
+    release(ids)
+    if last is None:
+        return df.withColumn("split_group", F.lit("train"))
+    halves = lambda h: (F.shiftrightunsigned(h, 1), h.bitwiseAND(1))
+    mine, bound = F.struct(*halves(hash_of), key), F.struct(*halves(F.lit(last[0])), F.lit(last[1]))
+    return df.withColumn("split_group", F.when(mine <= bound, "val").otherwise("train"))

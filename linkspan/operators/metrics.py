@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linkspan.plans.durable import durable
+
 BUCKETS = {"group1_singleton": "true_n = 1", "group2_zero_match": "true_n = 0", "group3_multi_match": "true_n > 1"}
 
 
@@ -86,7 +88,8 @@ def ranking(pairs: DataFrame) -> DataFrame:
     prefix sums come in two steps (ranges of scores, then within a range), so it isn't one task either.
     """
     by_score = pairs.groupBy("score").agg(F.sum("label").cast("double").alias("p"), F.sum(1 - F.col("label")).cast("double").alias("n"))
-    ranged = by_score.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id())
+    # Written once: which range a score falls in must be the same for the totals and for the rows.
+    ranged = durable(by_score.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("p").alias("pp"), F.sum("n").alias("nn"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offset = totals.select("part", F.coalesce(F.sum("pp").over(before), F.lit(0.0)).alias("p0"), F.coalesce(F.sum("nn").over(before), F.lit(0.0)).alias("n0"))

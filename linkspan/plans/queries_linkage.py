@@ -8,12 +8,12 @@ from linkspan.operators.blocking import ADDRESS_STOPWORDS, CHANNELS, Blocking, c
 from linkspan.functions import regexes as R
 from linkspan.functions import text as T
 from linkspan.functions.normalise import normalise_records
-from linkspan.operators.features import CHANNEL_FLAGS, GROUPS, attach_labels, feature_catalog, pair_features, provenance, split_groups
+from linkspan.operators.features import CHANNEL_FLAGS, FEATURES, GROUPS, attach_labels, feature_catalog, pair_features, provenance, split_groups
 from linkspan.operators.metrics import confusion, entity_metrics, evaluate, macro_by_group, ranking
 from linkspan.operators.model import MatchModel
 from linkspan.operators.resolve import affinity, resolve
 from linkspan.operators.validate import findings, outside
-from linkspan.plans import blocking_sql, feature_sql
+from linkspan.plans import blocking_sql, feature_sql, resolve_sql
 from linkspan.plans.durable import durable
 from linkspan.sources import tsv
 from linkspan.sources.tables import records, table
@@ -146,8 +146,7 @@ def feat_provenance(spark, d):
 
 
 def feat_source(spark, d):
-    x = _group("source")(spark, d)
-    return x.select("source1_entity_id", "candidate_entity_id", "candidate_is_source2", "candidate_is_source3")
+    return _group("source")(spark, d)
 
 
 NAME_TOKENS = [c for c in GROUPS["name"] if "token" in c or c in ("name_raw_exact", "name_alphanumeric_exact", "name_length_diff", "business_word_overlap_count", "name_both_latin", "name_cross_script", "name_has_non_ascii", "name_missing_either")]
@@ -253,6 +252,11 @@ def pair_auc(spark, d):
     return ranking(_labelled(spark, d))
 
 
+def pair_auc_all(spark, d):
+    """All scored candidate pairs against the reviewed matches."""
+    return ranking(attach_labels(_scored(spark, d), _truth(spark, d)).select(F.col("match_label").alias("label"), "score"))
+
+
 def validate_findings(spark, d):
     lists = _pairs(spark, d).groupBy("source1_entity_id").agg(F.array_join(F.array_sort(F.collect_set("candidate_entity_id")), ",").alias("ids"))
     return findings(lists, records(spark, d, "test_source1"), pool(spark, d))
@@ -297,7 +301,7 @@ QUERIES |= {
     for f in (
         export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_name_tokens, feat_provenance, feat_source, labels_attach, split_group_sizes,
         numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, resolve_affinity, resolve_exclusive, resolve_cap,
-        s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
+        s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, pair_auc_all, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
     )
 } | {
     "feat_name": _group("name"), "feat_address": _group("address"), "feat_interactions": _group("interaction"),
@@ -326,6 +330,10 @@ def _metrics(spine: str) -> str:
   m AS (SELECT *, CASE WHEN 0.25 * precision + recall > 0 THEN 1.25 * precision * recall / (0.25 * precision + recall) ELSE 0.0 END AS f05 FROM g)"""
 
 
+_AUC = """s AS (SELECT score, CAST(sum(label) AS DOUBLE) AS p, CAST(sum(1 - label) AS DOUBLE) AS n FROM q GROUP BY 1),
+  c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY score DESC)),
+  z AS (SELECT sum(p) AS pp, sum(n) AS nn, sum(n * (tp - p / 2)) AS wins, sum(p * tp / (tp + fp)) AS ap FROM c)
+SELECT CASE WHEN pp > 0 AND nn > 0 THEN wins / (pp * nn) ELSE 0.0 END AS roc_auc, CASE WHEN pp > 0 AND nn > 0 THEN ap / pp ELSE 0.0 END AS pr_auc FROM z"""
 _ALL_S1 = "SELECT DISTINCT entity_id AS source1_entity_id FROM test_source1"
 _LOW = "translate(lower(trim(business_name)), chr(962), chr(963))"
 _WORDS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+')"
@@ -341,11 +349,19 @@ SELECT *, 100.0::DOUBLE AS total_priority, 1 AS channels_fired, 1 AS rank_order,
     "feat_country": f"""WITH {_S1}, {_POOL}, {_PAIRS} SELECT p.*, CASE WHEN s1.country <> '' AND s1.country = pool.country THEN 1.0 ELSE 0.0 END::FLOAT AS country_exact_match,
   CASE WHEN coalesce(s1.country, '') = '' OR coalesce(pool.country, '') = '' THEN 1.0 ELSE 0.0 END::FLOAT AS country_missing_either
   FROM p LEFT JOIN s1 ON s1.entity_id = p.source1_entity_id LEFT JOIN pool ON pool.entity_id = p.candidate_entity_id""",
-    "feat_source": f"WITH {_PAIRS} SELECT *, (candidate_entity_id LIKE 'S2-%')::INT::FLOAT AS candidate_is_source2, (candidate_entity_id LIKE 'S3-%')::INT::FLOAT AS candidate_is_source3 FROM p",
+    "feat_source": feature_sql.SOURCE,
     "feat_provenance": "SELECT source1_entity_id, candidate_entity_id, " + ", ".join(f"coalesce({c}, 0)::FLOAT AS {c}" for c in CHANNEL_FLAGS)
-    + ", coalesce(channels_fired, 1)::FLOAT AS channels_fired_count, coalesce(total_priority, 0)::FLOAT AS blocking_priority_score, coalesce(rank_order, 1)::FLOAT AS blocking_rank_order FROM candidate_pairs",
+    + ", coalesce(channels_fired, 1)::FLOAT AS channels_fired_count, CASE WHEN isnan(total_priority) THEN 0 ELSE coalesce(total_priority, 0) END::FLOAT AS blocking_priority_score, coalesce(rank_order, 1)::FLOAT AS blocking_rank_order FROM candidate_pairs",
     "feat_name_tokens": feature_sql.NAME_TOKENS,
     "feat_address": feature_sql.ADDRESS,
+    "feat_name": feature_sql.NAME,
+    "feat_interactions": feature_sql.INTERACTIONS,
+    "features_all": feature_sql.every(blocking_sql.candidates(CAP)),
+    "resolve_affinity": resolve_sql.AFFINITY,
+    "resolve_exclusive": resolve_sql.EXCLUSIVE,
+    "resolve_cap": resolve_sql.CAPPED,
+    "feature_list": "SELECT * FROM (VALUES " + ", ".join(f"({f.position}, '{f.name}', '{f.group}', '{f.dtype}', {f.missing}::DOUBLE)" for f in FEATURES) + ") AS x(position, name, \"group\", dtype, missing)",
+    "pair_auc_all": f"""WITH {_TRUTH}, {_SCORED}, q AS (SELECT CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS label, score FROM sc LEFT JOIN t USING (source1_entity_id, candidate_entity_id)), {_AUC}""",
     "labels_attach": f"WITH {_PAIRS}, {_TRUTH} SELECT p.*, CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS match_label FROM p LEFT JOIN t USING (source1_entity_id, candidate_entity_id)",
     "split_group_sizes": f"WITH {_PAIRS}, n AS (SELECT count(DISTINCT source1_entity_id) AS n FROM p) SELECT 'val' AS split_group, CAST(floor(n * 0.2) AS BIGINT) AS s1_records FROM n UNION ALL SELECT 'train', n - CAST(floor(n * 0.2) AS BIGINT) FROM n",
     "numeric_tokens": rf"""WITH {_TEXTS}, w AS (SELECT entity_id, list_transform(list_filter({_WORDS.format('business_address')}, lambda v: regexp_full_match(v, '\p{{Nd}}+')), lambda v: CASE WHEN ltrim(v, '0') = '' THEN '0' ELSE ltrim(v, '0') END) AS n FROM x WHERE business_address IS NOT NULL)
@@ -367,10 +383,7 @@ SELECT bucket, count(*) AS count, avg(f05) AS macro_f05, avg(precision) AS macro
   avg(CASE WHEN label = 1 THEN -ln(least(greatest(score, 1e-7), 1 - 1e-7)) ELSE -ln(1 - least(greatest(score, 1e-7), 1 - 1e-7)) END) AS log_loss, avg((score - label) * (score - label)) AS brier_score FROM q),
   r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS pair_precision, CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS pair_recall FROM k)
 SELECT *, CASE WHEN 0.25 * pair_precision + pair_recall > 0 THEN 1.25 * pair_precision * pair_recall / (0.25 * pair_precision + pair_recall) ELSE 0.0 END AS pair_f05 FROM r""",
-    "pair_auc": f"""WITH {_LABELLED}, s AS (SELECT score, CAST(sum(label) AS DOUBLE) AS p, CAST(sum(1 - label) AS DOUBLE) AS n FROM q GROUP BY 1),
-  c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY score DESC)),
-  z AS (SELECT sum(p) AS pp, sum(n) AS nn, sum(n * (tp - p / 2)) AS wins, sum(p * tp / (tp + fp)) AS ap FROM c)
-SELECT CASE WHEN pp > 0 AND nn > 0 THEN wins / (pp * nn) ELSE 0.0 END AS roc_auc, CASE WHEN pp > 0 AND nn > 0 THEN ap / pp ELSE 0.0 END AS pr_auc FROM z""",
+    "pair_auc": f"WITH {_LABELLED}, {_AUC}",
     "validate_findings": f"""WITH {_S1}, {_PAIRS}, have AS (SELECT DISTINCT source1_entity_id FROM p)
 SELECT 'self_match' AS rule, source1_entity_id, candidate_entity_id AS value FROM p WHERE candidate_entity_id LIKE 'S1-%'
 UNION ALL SELECT 'wrong_prefix', source1_entity_id, candidate_entity_id FROM p WHERE NOT regexp_matches(candidate_entity_id, '^S[123]-')
