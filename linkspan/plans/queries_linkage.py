@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from linkspan.operators.blocking import ADDRESS_STOPWORDS, CHANNELS, Blocking, candidate_tokens, channel_pairs, generate_candidates, keyed, rare_tokens
 from linkspan.functions import regexes as R
 from linkspan.functions import text as T
-from linkspan.functions.normalise import normalise_records
+from linkspan.functions.normalise import address_columns, name_columns, normalise_records
 from linkspan.operators.features import CHANNEL_FLAGS, FEATURES, GROUPS, attach_labels, feature_catalog, pair_features, provenance, split_groups
 from linkspan.operators.metrics import confusion, entity_metrics, evaluate, macro_by_group, ranking
 from linkspan.operators.model import MatchModel
 from linkspan.operators.resolve import affinity, resolve
 from linkspan.operators.validate import findings, outside
-from linkspan.plans import blocking_sql, feature_sql, resolve_sql
+from linkspan.plans import blocking_sql, feature_sql, normal_sql, resolve_sql
 from linkspan.plans.durable import durable
 from linkspan.sources import tsv
 from linkspan.sources.tables import records, table
@@ -203,6 +203,18 @@ def normalised_records(spark, d):
     return normalise_records(_texts(spark, d))
 
 
+def _flat(df):
+    return df.select(*[F.array_join(c, "|").alias(c) if k.startswith("array") else c for c, k in df.dtypes])
+
+
+def normalised_names(spark, d):
+    return _flat(name_columns(_texts(spark, d), "business_name", ["entity_id"]))
+
+
+def normalised_addresses(spark, d):
+    return _flat(address_columns(_texts(spark, d), "business_address", ["entity_id"]))
+
+
 # --- resolve, metrics, checks -------------------------------------------------------------------------------
 
 
@@ -300,7 +312,7 @@ QUERIES |= {
     f.__name__: f
     for f in (
         export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_name_tokens, feat_provenance, feat_source, labels_attach, split_group_sizes,
-        numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, resolve_affinity, resolve_exclusive, resolve_cap,
+        numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, normalised_names, normalised_addresses, resolve_affinity, resolve_exclusive, resolve_cap,
         s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, pair_auc_all, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
     )
 } | {
@@ -357,6 +369,8 @@ SELECT *, 100.0::DOUBLE AS total_priority, 1 AS channels_fired, 1 AS rank_order,
     "feat_name": feature_sql.NAME,
     "feat_interactions": feature_sql.INTERACTIONS,
     "features_all": feature_sql.every(blocking_sql.candidates(CAP)),
+    "normalised_names": normal_sql.NAMES,
+    "normalised_addresses": normal_sql.ADDRESSES,
     "resolve_affinity": resolve_sql.AFFINITY,
     "resolve_exclusive": resolve_sql.EXCLUSIVE,
     "resolve_cap": resolve_sql.CAPPED,
