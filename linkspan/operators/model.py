@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkspan.operators.features import FEATURE_NAMES
+from linkspan.plans.durable import durable
 
 KINDS = ("logistic_regression", "xgboost", "xgboost_weighted", "random_forest")
 #: Weight of the positive class of xgboost_weighted unless a parameter sets it.
@@ -98,13 +99,17 @@ class MatchModel:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """df with `score`, the probability of a match (calibrated, if calibrate() was called)."""
-        start = time.time()
         score = F.col("score")
         if self.calibration and self.calibration["method"] == "sigmoid":
             score = 1 / (1 + F.exp(-(F.lit(self.calibration["a"]) * F.col("score") + F.lit(self.calibration["b"]))))
         elif self.calibration:
             score = _interpolated(self.calibration["x"], self.calibration["y"])(score)
-        out = self._scored(df).withColumn("score", score).select(*df.columns, "score")
+        return self._scored(df).withColumn("score", score).select(*df.columns, "score")
+
+    def timed(self, df: DataFrame) -> DataFrame:
+        """predict_proba(df), computed and stored; the seconds that takes are kept under `inference`."""
+        start = time.time()
+        out = durable(self.predict_proba(df))
         self.seconds["inference"] = time.time() - start
         return out
 

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkspan.plans.durable import durable
+from linkspan.plans.durable import durable, release
+from linkspan.plans.skew import all_salts, salt, salts_by_slot
 
 #: Characters by which one round narrows the value range of a key.
 STEP = 3
 #: Most keys whose state is broadcast; beyond it the state meets the rows in a salted shuffle.
 MOST_BROADCAST = 100_000
-SALTS = 32
+#: Most cells of a key that are ordered in one task; beyond it a round narrows by one character only.
+MOST_CELLS = 65_536
 
 
 def _common(a: str, b: str, most: int = 64) -> str:
@@ -23,12 +25,13 @@ def _common(a: str, b: str, most: int = 64) -> str:
     )
 
 
-def select_by_rank(df: DataFrame, key: str, value: str, num: int = 1, den: int = 2, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def select_by_rank(df: DataFrame, key: str, value: str, num: int = 1, den: int = 2, most_broadcast: int = MOST_BROADCAST, most_cells: int = MOST_CELLS) -> DataFrame:
     """Per key the value at position ceil(n * num / den) of its n distinct values in ascending order.
 
     Values are strings, ordered by code point. Each round histograms the characters that follow what is
     already known of the answer, with counts that merge before the shuffle, and keeps the cell in which the
-    rank falls; a key is done when its cell holds one value. Only counts move, never the values of a key.
+    rank falls; a key is done when its cell holds one value. Only counts move, never the values of a key, and a key
+    has at most MOST_CELLS of them in one task, or one for each character that follows.
 
     Returns (key, value, n). Null keys and null values take no part; an empty input gives no rows; the
     empty string is a value; repeated rows count once. Other columns are ignored. num/den must lie in (0, 1].
@@ -44,6 +47,7 @@ def select_by_rank(df: DataFrame, key: str, value: str, num: int = 1, den: int =
         .select("k", "n", "rank", "prefix", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("answer"))
     )
     few = state.count() <= most_broadcast
+    salts = {} if few else salts_by_slot(base, F.col("k"))
     done = state.where("answer is not null")
     state = state.where("answer is null")
     while state.take(1):
@@ -51,14 +55,18 @@ def select_by_rank(df: DataFrame, key: str, value: str, num: int = 1, den: int =
         if few:
             met = base.join(F.broadcast(s), "k")
         else:
-            salted = s.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            met = base.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["k", "salt"])
-        cells = (
-            met.where("startswith(v, prefix)")
-            .withColumn("cell", F.expr(f"substring(v, char_length(prefix) + 1, {STEP})"))
-            .groupBy("k", "cell")
-            .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.first("n").alias("n"), F.first("rank").alias("rank"), F.first("prefix").alias("prefix"))
-        )
+            salted = s.withColumn("salt", all_salts(F.col("k"), salts))
+            met = base.withColumn("salt", salt(F.col("k"), F.col("v"), salts)).join(salted, ["k", "salt"])
+        for step in (STEP, 1):
+            cells = durable(
+                met.where("startswith(v, prefix)")
+                .withColumn("cell", F.expr(f"substring(v, char_length(prefix) + 1, {step})"))
+                .groupBy("k", "cell")
+                .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.first("n").alias("n"), F.first("rank").alias("rank"), F.first("prefix").alias("prefix"))
+            )
+            if step == 1 or not cells.groupBy("k").count().where(F.col("count") > most_cells).take(1):
+                break
+            release(cells)
         upto = F.sum("c").over(Window.partitionBy("k").orderBy("cell"))
         at = cells.withColumn("upto", upto).where("upto >= rank and upto - c < rank")
         rest = "substring(lo, char_length(prefix) + 1)", "substring(hi, char_length(prefix) + 1)"
@@ -69,8 +77,10 @@ def select_by_rank(df: DataFrame, key: str, value: str, num: int = 1, den: int =
                 F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("answer"),
             )
         )
+        release(cells)
         done = done.unionByName(state.where("answer is not null"))
         state = state.where("answer is null")
+    release(base)
     return done.select(F.col("k").alias(key), F.col("answer").alias(value), "n")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from linkspan.plans.durable import durable, release
 
 RULES = {
     "duplicate_row": "record on more than one row",
@@ -67,6 +70,8 @@ def check_file(spark: SparkSession, path: str, header: list[str], required: Data
     first = lines.first()
     if first is None:
         return [f"{path} is empty"]
+    if lines.where(~F.is_valid_utf8("value")).take(1):
+        return [f"{path}: not valid UTF-8 text; it must be a plain tab-separated file"]
     if "\t" not in first[0] and "," in first[0]:
         return [f"{path}: the header has commas and no tab; the file must be tab-separated"]
     if [c.strip().lower() for c in first[0].split("\t")] != header:
@@ -76,10 +81,34 @@ def check_file(spark: SparkSession, path: str, header: list[str], required: Data
     out = [f"{path}: malformed row (no tab): {r[0]!r}" for r in broken]
     parts = F.split("value", "\t", 2)
     rows = body.where(F.col("value").contains("\t")).select(parts[0].alias("source1_entity_id"), parts[1].alias("ids"))
-    table = findings(rows, required, known)
-    for r in table.groupBy("rule").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(F.coalesce("value", "source1_entity_id"))), 1, examples).alias("some")).collect():
-        out.append(f"{path}: {RULES[r['rule']]}: {r['n']} total, e.g. {', '.join(r['some'])}")
-    return sorted(out)
+    table = durable(findings(rows, required, known))
+    counts = {r["rule"]: r["count"] for r in table.groupBy("rule").count().collect()}
+    some: dict[str, list[str]] = {}
+    for rule, value in first_offenders(table, examples).collect():
+        some.setdefault(rule, []).append(value)
+    release(table)
+    return sorted(out + [f"{path}: {RULES[rule]}: {n} total, e.g. {', '.join(sorted(some[rule]))}" for rule, n in counts.items()])
+
+
+def first_offenders(table: DataFrame, n: int) -> DataFrame:
+    """(rule, offender): the first n offenders of each rule, in order. Each task keeps n of a rule before they meet."""
+    rank = F.dense_rank().over(Window.partitionBy("rule").orderBy("offender"))
+    return table.select("rule", F.coalesce("value", "source1_entity_id").alias("offender")).withColumn("k", rank).where(F.col("k") <= n).select("rule", "offender").distinct()
+
+
+def listed_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The pairs of a result file."""
+    rows = spark.read.csv(path, sep="\t", header=True, quote="", escape="", schema="source1_entity_id string, ids string", enforceSchema=True)
+    return rows.select("source1_entity_id", F.explode(F.split("ids", ",", -1)).alias("candidate_entity_id")).where("candidate_entity_id <> ''")
+
+
+def subset_warning(spark: SparkSession, matching: str, candidates: str, examples: int = 5) -> str | None:
+    """A warning if matched ids aren't among the candidates, which a file may be and still be valid."""
+    strange = outside(listed_pairs(spark, matching), listed_pairs(spark, candidates)).select("source1_entity_id").distinct()
+    n = strange.count()
+    if n:
+        some = [r[0] for r in strange.orderBy("source1_entity_id").limit(examples).collect()]
+        return f"{n} records have matched ids that are no candidates, e.g. {', '.join(some)}"
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -97,14 +126,23 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("linkspan-validate").getOrCreate()
     required = read_source(spark, f"{a.test_dir}/test_source1.tsv")
-    known = None
-    if a.check_ids and all(exists(spark, f"{a.test_dir}/test_source{i}.tsv") for i in (2, 3)):
-        known = read_source(spark, f"{a.test_dir}/test_source2.tsv").unionByName(read_source(spark, f"{a.test_dir}/test_source3.tsv"))
+    known, warnings = None, []
+    files = [f"{a.test_dir}/test_source{i}.tsv" for i in (2, 3)]
+    missing = [f for f in files if a.check_ids and not exists(spark, f)]
+    warnings += [f"{f} is missing: ids are not looked up" for f in missing]
+    if a.check_ids and not missing:
+        known = read_source(spark, files[0]).unionByName(read_source(spark, files[1]))
     problems = check_file(spark, a.matching, MATCHING_HEADER, required, known)
     if exists(spark, a.candidates):
-        problems += check_file(spark, a.candidates, CANDIDATE_HEADER, required, known)
+        sound = not problems
+        more = check_file(spark, a.candidates, CANDIDATE_HEADER, required, known)
+        problems += more
+        if sound and not more and (w := subset_warning(spark, a.matching, a.candidates)):
+            warnings.append(w)
     else:
-        print(f"warning: {a.candidates} is missing", file=sys.stderr)
+        warnings.append(f"{a.candidates} is missing")
+    for w in warnings:
+        print(f"warning: {w}", file=sys.stderr)
     print("\n".join(problems) or "nothing wrong")
     return int(bool(problems))
 

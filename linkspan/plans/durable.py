@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session. Only where none is set (tests, one machine) a local one is made."""
+    """spark.checkpoint.dir of the session. Where none is set, a local folder is made if all runs on one machine; a cluster needs one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="linkspan-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from linkspan.operators.blocking import ADDRESS_STOPWORDS, CHANNELS, Blocking, candidate_tokens, channel_pairs, generate_candidates, keyed, rare_tokens
@@ -12,9 +14,9 @@ from linkspan.operators.features import CHANNEL_FLAGS, FEATURES, GROUPS, attach_
 from linkspan.operators.metrics import confusion, entity_metrics, evaluate, macro_by_group, ranking
 from linkspan.operators.model import MatchModel
 from linkspan.operators.resolve import affinity, resolve
-from linkspan.operators.validate import findings, outside
+from linkspan.operators.validate import findings, first_offenders, outside
 from linkspan.plans import blocking_sql, feature_sql, normal_sql, resolve_sql
-from linkspan.plans.durable import durable
+from linkspan.plans.durable import durable, shared_dir
 from linkspan.sources import tsv
 from linkspan.sources.tables import records, table
 
@@ -274,6 +276,31 @@ def validate_findings(spark, d):
     return findings(lists, records(spark, d, "test_source1"), pool(spark, d))
 
 
+def validate_unchecked(spark, d):
+    """Findings of lists as a careless writer leaves them: one for each record and candidate source, repeats kept."""
+    pairs = table(spark, d, "candidate_pairs").where("source1_entity_id is not null and candidate_entity_id is not null")
+    lists = pairs.groupBy("source1_entity_id", F.left("candidate_entity_id", F.lit(2)).alias("source")).agg(F.array_join(F.collect_list("candidate_entity_id"), ",").alias("ids"))
+    return findings(lists, records(spark, d, "test_source1"), pool(spark, d))
+
+
+def validate_examples(spark, d):
+    """The first five offenders of each rule, as a report shows them."""
+    return first_offenders(validate_unchecked(spark, d), 5)
+
+
+def tsv_source(spark, d):
+    """A source written as a tab-separated file and read again; tabs and line ends of its texts are blanks there."""
+    path = f"{shared_dir(spark)}/linkspan-tsv-{uuid.uuid4().hex}"
+    flat = [F.regexp_replace(c, r"[\t\n\r\x0B\f\x85\x{2028}\x{2029}]", " ").alias(c) for c in ("entity_id", "business_name", "business_address", "country")]
+    tsv.write_tsv(records(spark, d, "test_source3").select(*flat), path)
+    return tsv.read_source(spark, path + "/*.csv")
+
+
+def smallest_ids(spark, d):
+    """A limited scan in order."""
+    return tsv.limited(records(spark, d, "test_source1"), 50).orderBy("entity_id").select("entity_id", "country")
+
+
 def validate_subset(spark, d):
     return outside(_truth(spark, d), _pairs(spark, d))
 
@@ -286,22 +313,55 @@ def _training(spark, d):
     return pair_features(labels, records(spark, d, "test_source1"), pool(spark, d)).join(labels, ["source1_entity_id", "candidate_entity_id"])
 
 
-def _model(kind, **params):
+def _held_out(spark, d):
+    """(training rows, held-out rows) of the reviewed pairs, whole records to either side."""
+    data = durable(split_groups(_training(spark, d)))
+    return data.where("split_group = 'train'"), data.where("split_group = 'val'")
+
+
+def _fitted(kind, train, held):
+    return MatchModel(kind).fit(train, held if kind.startswith("xgboost") else None)
+
+
+def _model(kind):
+    """Scores of the held-out pairs by a model of the operator's own size."""
+
     def query(spark, d):
-        data = durable(_training(spark, d))
-        return MatchModel(kind, params).fit(data).predict(data).select("source1_entity_id", "candidate_entity_id", "match_label", "score", "is_match")
+        train, held = _held_out(spark, d)
+        return _fitted(kind, train, held).predict(held).select("source1_entity_id", "candidate_entity_id", "match_label", "score", "is_match")
 
     return query
 
 
 def model_importances(spark, d):
-    return MatchModel("random_forest", {"numTrees": 20, "maxDepth": 6}).fit(durable(_training(spark, d))).importances(spark)
+    return _fitted("random_forest", *_held_out(spark, d)).importances(spark)
+
+
+#: Both kinds of boosted trees are one estimator.
+CHECKED_KINDS = ("logistic_regression", "xgboost_weighted", "random_forest")
+
+
+def model_checks(spark, d):
+    """What must hold of each kind of model over all reviewed pairs, whatever it has learned."""
+    train, held = _held_out(spark, d)
+    out = None
+    for kind in CHECKED_KINDS:
+        model = _fitted(kind, train, held)
+        scored = model.predict(train.unionByName(held), 0.5)
+        total = model.importances(spark).agg(F.sum("importance")).first()[0]
+        one = scored.agg(
+            F.lit(kind).alias("kind"), F.count("*").alias("rows"), F.count_if(~F.col("score").between(0, 1) | F.isnan("score") | F.col("score").isNull()).alias("out_of_range"),
+            F.count_if((F.col("score") >= 0.5).cast("int") != F.col("is_match")).alias("wrong_flags"), F.lit(len(model.features)).alias("features"),
+            F.lit(kind == "logistic_regression" or abs(total - 1) < 1e-6).alias("importances_add_up"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def model_calibrated(spark, d):
-    data = durable(split_groups(_training(spark, d)))
-    model = MatchModel("logistic_regression").fit(data.where("split_group = 'train'"))
-    return model.calibrate(data.where("split_group = 'val'")).predict_proba(data).select("source1_entity_id", "candidate_entity_id", "match_label", "score")
+    train, held = _held_out(spark, d)
+    model = MatchModel("logistic_regression").fit(train).calibrate(held)
+    return model.predict_proba(train.unionByName(held)).select("source1_entity_id", "candidate_entity_id", "match_label", "score")
 
 
 def feature_list(spark, d):
@@ -313,11 +373,11 @@ QUERIES |= {
     for f in (
         export_pairs_validated, export_lists, reload_lists, pool_semi, features_all, feat_country, feat_name_tokens, feat_provenance, feat_source, labels_attach, split_group_sizes,
         numeric_tokens, postal_codes, tokens_norm, char_ngrams, script_detect, legal_strip, normalised_records, normalised_names, normalised_addresses, resolve_affinity, resolve_exclusive, resolve_cap,
-        s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, pair_auc_all, validate_findings, validate_subset, model_importances, model_calibrated, feature_list,
+        s1_metrics, macro_f05, macro_groups, pair_confusion, pair_auc, pair_auc_all, validate_findings, validate_unchecked, validate_examples, validate_subset, tsv_source, smallest_ids, model_importances, model_checks, model_calibrated, feature_list,
     )
 } | {
     "feat_name": _group("name"), "feat_address": _group("address"), "feat_interactions": _group("interaction"),
-    "model_logistic": _model("logistic_regression"), "model_boosted": _model("xgboost_weighted", maxIter=20), "model_forest": _model("random_forest", numTrees=20, maxDepth=6),
+    "model_logistic": _model("logistic_regression"), "model_boosted": _model("xgboost_weighted"), "model_forest": _model("random_forest"),
 }
 
 _S1 = "s1 AS (SELECT DISTINCT entity_id, business_name, business_address, country FROM test_source1)"
@@ -346,6 +406,16 @@ _AUC = """s AS (SELECT score, CAST(sum(label) AS DOUBLE) AS p, CAST(sum(1 - labe
   c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY score DESC)),
   z AS (SELECT sum(p) AS pp, sum(n) AS nn, sum(n * (tp - p / 2)) AS wins, sum(p * tp / (tp + fp)) AS ap FROM c)
 SELECT CASE WHEN pp > 0 AND nn > 0 THEN wins / (pp * nn) ELSE 0.0 END AS roc_auc, CASE WHEN pp > 0 AND nn > 0 THEN ap / pp ELSE 0.0 END AS pr_auc FROM z"""
+_FINDINGS = f"""WITH {_S1}, {_PAIRS}, raw AS (SELECT source1_entity_id, candidate_entity_id, left(candidate_entity_id, 2) AS source FROM candidate_pairs WHERE source1_entity_id IS NOT NULL AND candidate_entity_id IS NOT NULL),
+have AS (SELECT DISTINCT source1_entity_id FROM p)
+SELECT 'self_match' AS rule, source1_entity_id, candidate_entity_id AS value FROM p WHERE candidate_entity_id LIKE 'S1-%'
+UNION ALL SELECT 'wrong_prefix', source1_entity_id, candidate_entity_id FROM p WHERE NOT regexp_matches(candidate_entity_id, '^S[123]-')
+UNION ALL SELECT 'unknown_id', source1_entity_id, candidate_entity_id FROM p WHERE regexp_matches(candidate_entity_id, '^S[23]-') AND candidate_entity_id NOT IN (SELECT entity_id FROM test_source2 UNION ALL SELECT entity_id FROM test_source3)
+UNION ALL SELECT 'missing_record', entity_id, NULL FROM (SELECT DISTINCT entity_id FROM s1) WHERE entity_id NOT IN (SELECT source1_entity_id FROM have)
+UNION ALL SELECT 'unexpected_record', source1_entity_id, NULL FROM have WHERE source1_entity_id NOT IN (SELECT entity_id FROM s1)"""
+_UNCHECKED = f"""{_FINDINGS}
+UNION ALL SELECT 'duplicate_row', source1_entity_id, NULL FROM (SELECT DISTINCT source1_entity_id, source FROM raw) GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'repeated_id', source1_entity_id, NULL FROM (SELECT source1_entity_id FROM raw GROUP BY source1_entity_id, source, candidate_entity_id HAVING count(*) > 1)"""
 _ALL_S1 = "SELECT DISTINCT entity_id AS source1_entity_id FROM test_source1"
 _LOW = "translate(lower(trim(business_name)), chr(962), chr(963))"
 _WORDS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+')"
@@ -398,11 +468,12 @@ SELECT bucket, count(*) AS count, avg(f05) AS macro_f05, avg(precision) AS macro
   r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS pair_precision, CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS pair_recall FROM k)
 SELECT *, CASE WHEN 0.25 * pair_precision + pair_recall > 0 THEN 1.25 * pair_precision * pair_recall / (0.25 * pair_precision + pair_recall) ELSE 0.0 END AS pair_f05 FROM r""",
     "pair_auc": f"WITH {_LABELLED}, {_AUC}",
-    "validate_findings": f"""WITH {_S1}, {_PAIRS}, have AS (SELECT DISTINCT source1_entity_id FROM p)
-SELECT 'self_match' AS rule, source1_entity_id, candidate_entity_id AS value FROM p WHERE candidate_entity_id LIKE 'S1-%'
-UNION ALL SELECT 'wrong_prefix', source1_entity_id, candidate_entity_id FROM p WHERE NOT regexp_matches(candidate_entity_id, '^S[123]-')
-UNION ALL SELECT 'unknown_id', source1_entity_id, candidate_entity_id FROM p WHERE regexp_matches(candidate_entity_id, '^S[23]-') AND candidate_entity_id NOT IN (SELECT entity_id FROM test_source2)
-UNION ALL SELECT 'missing_record', entity_id, NULL FROM (SELECT DISTINCT entity_id FROM s1) WHERE entity_id NOT IN (SELECT source1_entity_id FROM have)
-UNION ALL SELECT 'unexpected_record', source1_entity_id, NULL FROM have WHERE source1_entity_id NOT IN (SELECT entity_id FROM s1)""",
+    "validate_findings": _FINDINGS,
+    "validate_unchecked": _UNCHECKED,
+    "validate_examples": f"SELECT DISTINCT rule, offender FROM (SELECT rule, coalesce(value, source1_entity_id) AS offender FROM ({_UNCHECKED})) QUALIFY dense_rank() OVER (PARTITION BY rule ORDER BY offender) <= 5",
+    "tsv_source": "SELECT DISTINCT " + ", ".join(rf"nullif(regexp_replace({c}, '[\t\n\r\x{{0B}}\f\x{{85}}\x{{2028}}\x{{2029}}]', ' ', 'g'), '') AS {c}" for c in ("entity_id", "business_name", "business_address", "country")) + " FROM test_source3 WHERE entity_id IS NOT NULL",
+    "smallest_ids": "SELECT DISTINCT entity_id, country FROM test_source1 ORDER BY entity_id LIMIT 50",
+    "model_checks": "WITH n AS (SELECT count(*) AS rows FROM (SELECT DISTINCT source1_entity_id, candidate_entity_id FROM match_labels WHERE match_label IS NOT NULL)) "
+    + " UNION ALL ".join(f"SELECT '{k}' AS kind, rows, 0 AS out_of_range, 0 AS wrong_flags, {len(FEATURES)} AS features, true AS importances_add_up FROM n" for k in CHECKED_KINDS),
     "validate_subset": f"WITH {_PAIRS}, {_TRUTH} SELECT t.source1_entity_id, t.candidate_entity_id AS value FROM t WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.source1_entity_id = t.source1_entity_id AND p.candidate_entity_id = t.candidate_entity_id)",
 }

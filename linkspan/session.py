@@ -26,8 +26,9 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: str = "8", name: str = "linkspan", memory: str = "8g") -> SparkSession:
-    return (
+def local_session(cpus: str = "8", name: str = "linkspan", memory: str = "8g", spill_dir: str | None = None) -> SparkSession:
+    """A session on this machine; shuffles and spills go to spill_dir if it is given."""
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.driver.memory", memory)
@@ -36,5 +37,5 @@ def local_session(cpus: str = "8", name: str = "linkspan", memory: str = "8g") -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.local.dir", spill_dir) if spill_dir else builder).getOrCreate()

@@ -60,7 +60,7 @@ def read_lists(spark: SparkSession, path: str, only: DataFrame | None = None) ->
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="")
+    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def valid_pairs(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkspan.functions.udfs import jaro_winkler_pair
 from linkspan.operators.features import ADDRESS_STOPWORDS, BUSINESS_WORDS, FEATURE_NAMES, attach_labels, feature_catalog, pair_features, split_groups
@@ -115,3 +116,29 @@ def test_provenance_labels_and_split(spark):
         groups.setdefault(r["source1_entity_id"], set()).add(r["split_group"])
     assert all(len(g) == 1 for g in groups.values()) and sum(g == {"val"} for g in groups.values()) == 2
     assert feature_catalog(spark).count() == 65
+
+
+def test_split_groups_finds_the_exact_count(spark, monkeypatch):
+    from linkspan.operators import features
+
+    monkeypatch.setattr(features, "FEW", 3)  # narrow by bits down to three
+    df = spark.range(5000).selectExpr("concat('S1-', pmod(id, 1234)) as source1_entity_id")
+    for share, n in ((0.0, 0), (0.2, 246), (0.5, 617), (1.0, 1234)):
+        got = split_groups(df, share).groupBy("split_group").agg(F.countDistinct("source1_entity_id").alias("n"), F.count("*").alias("rows")).collect()
+        assert {r["split_group"]: r["n"] for r in got}.get("val", 0) == n and sum(r["rows"] for r in got) == 5000
+
+
+def test_jaro_winkler_side_by_side():
+    import random
+
+    import pandas as pd
+
+    from linkspan.functions.udfs import jaro_winkler
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdé𝒳") for _ in range(n))
+    pairs = [(word(rng.randrange(40)), word(rng.randrange(40))) for _ in range(500)]
+    pairs += [(a, a[: len(a) // 2] + "x" + a[len(a) // 2 :]) for a, _ in pairs] + [(None, "a"), ("", ""), ("", "a"), ("a" * 300, "a" * 200 + "b"), ("same", "same")]
+    got = jaro_winkler.func(pd.Series([a for a, _ in pairs], dtype=object), pd.Series([b for _, b in pairs], dtype=object))
+    want = [None if a is None else jaro_winkler_pair(a, b) for a, b in pairs]
+    assert [None if g is None or g != g else round(g, 12) for g in got] == [None if w is None else round(w, 12) for w in want]

@@ -91,3 +91,50 @@ def test_ids_of_both_candidate_sources_are_known(spark, tmp_path):
     spark.createDataFrame(pairs, "source1_entity_id string, candidate_entity_id string").write.parquet(str(tmp_path / "candidate_pairs.parquet"))
     got = sorted(map(tuple, QUERIES["validate_findings"](spark, str(tmp_path)).collect()))
     assert got == [("unknown_id", "S1-2", "S2-9"), ("unknown_id", "S1-2", "S3-9")]
+
+
+def test_tsv_keeps_blanks_at_the_ends(spark, tmp_path):
+    tsv.write_tsv(spark.createDataFrame([("S1-1", " a ", None, "X")], KIND), str(tmp_path / "t"))
+    assert tuple(tsv.read_source(spark, str(tmp_path / "t") + "/*.csv").first()) == ("S1-1", " a ", None, "X")
+
+
+def test_check_file_reports(spark, tmp_path):
+    from linkspan.operators.validate import MATCHING_HEADER, subset_warning
+
+    need = spark.createDataFrame([(f"S1-{i}",) for i in range(9)], "entity_id string")
+    p = tmp_path / "m.tsv"
+    p.write_text("source1_entity_id\tmatched_entity_ids\nS1-0\tS2-1,S2-2\n")
+    assert check_file(spark, str(p), MATCHING_HEADER, need) == [f"{p}: required record without a row: 8 total, e.g. S1-1, S1-2, S1-3, S1-4, S1-5"]
+    c = tmp_path / "c.tsv"
+    c.write_text("source1_entity_id\tcandidate_entity_ids\nS1-0\tS2-1\n")
+    assert subset_warning(spark, str(p), str(c)) == "1 records have matched ids that are no candidates, e.g. S1-0" and subset_warning(spark, str(c), str(p)) is None
+    p.write_bytes("source1_entity_id\tmatched_entity_ids\nS1-0\tS2-é\n".encode("latin-1"))
+    assert "UTF-8" in check_file(spark, str(p), MATCHING_HEADER, need)[0]
+
+
+def test_package(tmp_path):
+    import zipfile
+
+    from linkspan.sources.package import package
+
+    (tmp_path / "out" / "__pycache__").mkdir(parents=True)
+    for f in ("a.tsv", ".hidden", "__pycache__/x.pyc"):
+        (tmp_path / "out" / f).write_text("x")
+    z = str(tmp_path / "z.zip")
+    assert package(z, {str(tmp_path / "out"): "output"}) == ["output/a.tsv"] == zipfile.ZipFile(z).namelist()
+    with pytest.raises(FileNotFoundError):
+        package(z, {str(tmp_path / "no"): "x"})
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Fake:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(dict)
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda k, d: d)
+
+    with pytest.raises(ValueError):
+        shared_dir(Fake)

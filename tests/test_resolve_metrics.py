@@ -61,3 +61,25 @@ def test_pair_metrics(spark):
     r = ranking(df).first()
     assert r["roc_auc"] == pytest.approx(wins / 9) and r["pr_auc"] == pytest.approx((1 + 2 / 3 + 3 / 4) / 3)
     assert tuple(ranking(df.where("label = 1")).first()) == (0.0, 0.0)
+
+
+@pytest.mark.parametrize("partitions", [2, 7, 40])
+def test_ranking_of_many_scores(spark, partitions):
+    """The ranges of scores are the same for totals and rows, however adaptive execution merges them."""
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(60_000).selectExpr("pmod(xxhash64(id), 50000) / 50000.0 as score", "cast(pmod(xxhash64(id, 1), 3) = 0 as int) as label")
+        rows = sorted(((float(r["score"]), r["label"]) for r in df.collect()), reverse=True)
+        got = ranking(df).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    by: dict = {}
+    for s, y in rows:
+        p, n = by.get(s, (0, 0))
+        by[s] = (p + y, n + 1 - y)
+    tp = fp = wins = ap = 0
+    for p, n in by.values():
+        tp, fp = tp + p, fp + n
+        wins += n * (tp - p / 2)
+        ap += p * tp / (tp + fp)
+    assert got["roc_auc"] == pytest.approx(wins / (tp * fp), abs=1e-9) and got["pr_auc"] == pytest.approx(ap / tp, abs=1e-9)

@@ -47,3 +47,14 @@ def test_statistics(spark, rows):
     data = [("a", "1", "x"), ("a", "1", "x"), ("a", "2", "y"), ("a", "3", None), ("b", "9", None), (None, "1", "x")]
     got = rows(key_statistics(spark.createDataFrame(data, KIND), "k", "v", "name"))
     assert got == [("a", 3, 2, "2"), ("b", 1, 0, "9")]
+
+
+def test_many_cells_and_salted_hot_keys(spark):
+    """Keys beyond the broadcast, one of them hot, and more cells than are ordered in one task."""
+    rows = [("hot", f"{i:05d}") for i in range(3000)] + [(f"k{i % 40}", f"v{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = {r["k"]: (r["v"], r["n"]) for r in select_by_rank(df, "k", "v", most_broadcast=5, most_cells=50).collect()}
+    want: dict = {}
+    for k, v in rows:
+        want.setdefault(k, []).append(v)
+    assert got == {k: (sorted(v)[(len(v) + 1) // 2 - 1], len(v)) for k, v in want.items()}
