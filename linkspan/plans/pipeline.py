@@ -6,7 +6,7 @@ import argparse
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkspan.operators.blocking import Blocking, generate_candidates
@@ -40,14 +40,15 @@ def match(s1: DataFrame, pool: DataFrame, model: MatchModel, conf: Settings | No
     """
     conf = conf or Settings()
     s1 = tsv.limited(s1, conf.limit)
-    start, seen = time.time(), Observation("candidates")
+    start = time.time()
     if conf.candidate_file:
         pairs = tsv.read_lists(s1.sparkSession, conf.candidate_file, s1)
     else:
         pairs = generate_candidates(s1, pool, Blocking(cap=conf.cap))
-    # Counted on the way to the table, not by another pass.
-    pairs = durable(pairs.observe(seen, F.count("*").alias("total_candidates"), F.max("rank_order").alias("most_per_record")))
-    conf.statistics |= {**seen.get, "runtime_seconds": time.time() - start, "cap": conf.cap}
+    pairs = durable(pairs)
+    seconds = time.time() - start
+    counted = pairs.agg(F.count("*").alias("total_candidates"), F.max("rank_order").alias("most_per_record")).first()  # one narrow column of the stored table
+    conf.statistics |= {**counted.asDict(), "runtime_seconds": seconds, "cap": conf.cap}
     scored = model.predict_proba(pair_features(pairs, s1, tsv.pruned(pool, pairs)))
     accepted = durable(scored.where(F.col("score") >= conf.threshold).select("source1_entity_id", "candidate_entity_id", "score"))
     return resolve(accepted, s1, tsv.pruned(pool, accepted), conf.most_per_record), pairs

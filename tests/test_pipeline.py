@@ -45,7 +45,9 @@ def test_end_to_end(spark, training, tmp_path):
     d = "/root/testdata/sf0.001"
     model = MatchModel("logistic_regression", {"maxIter": 50}).fit(training)
     s1, cand = records(spark, d, "test_source1"), pool(spark, d)
-    matches, pairs = match(s1, cand, model, Settings(threshold=0.5, cap=20))
+    conf = Settings(threshold=0.5, cap=20)
+    matches, pairs = match(s1, cand, model, conf)
+    assert conf.statistics["total_candidates"] == pairs.count() and conf.statistics["most_per_record"] <= 20
     got = matches.collect()
     assert got and len({r["candidate_entity_id"] for r in got}) == len(got)
     known = {tuple(r) for r in pairs.select("source1_entity_id", "candidate_entity_id").collect()}
