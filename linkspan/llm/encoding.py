@@ -7,6 +7,7 @@ import unicodedata
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,22 @@ SINGLE = ["cp1252", "cp1250", "cp1251", "cp1253", "mac_roman", "cp437", "cp850",
 MULTI = ["gbk", "big5", "cp932", "cp949"]
 #: (true, wrong) charsets of one byte a character each.
 CROSS = [("cp1252", w) for w in ("mac_roman", "cp850", "cp437", "cp1251", "cp1250", "koi8_r", "cp1253")] + [(t, "cp1252") for t in ("mac_roman", "cp850", "cp437", "cp1251", "koi8_r", "cp1253")]
-#: Rounds of UTF-8 read as single bytes that are undone.
+#: Deepest misreading (UTF-8 read as single bytes, again and again) with a prior of its own; deeper ones share it.
 DEPTH = 3
 
+
+def _repeated(charset: str, k: int) -> str:
+    """Name of the chain in which UTF-8 was read as charset k times."""
+    return f"utf8>{charset}" + ("" if k == 1 else f" x{k}" if k < DEPTH else f" x{DEPTH}+")
+
+
 #: Chains by number. 0: correct text; 1: damaged beyond repair.
-CHAINS = ["none", "lost", *[f"utf8>{w}" + (f" x{k}" if k > 1 else "") for w in SINGLE for k in range(1, DEPTH + 1)], *[f"utf8>{w}" for w in MULTI], *[f"{t}>{w}" for t, w in CROSS]]
+CHAINS = ["none", "lost", *[_repeated(w, k) for w in SINGLE for k in range(1, DEPTH + 1)], *[f"utf8>{w}" for w in MULTI], *[f"{t}>{w}" for t, w in CROSS]]
 NUMBER = {c: i for i, c in enumerate(CHAINS)}
 BUCKETS = 1 << 16
-ROUNDS = 5
+#: EM ends when a round raises the log likelihood by less than this share, or at last after so many rounds.
+GAIN = 1e-3
+MOST_ROUNDS = 50
 ALPHA = 0.02
 EXPECTED = 2.0
 
@@ -100,12 +109,10 @@ def restorations(text: str) -> list[tuple[int, str]]:
     """(chain, text before it) for every chain that could have led to the text and undoes something."""
     out: dict[str, int] = {}
     for w in SINGLE:
-        x = text
-        for k in range(1, DEPTH + 1):
-            y = unread(x, w)
-            if y == x:
-                break
-            out.setdefault(y, NUMBER[f"utf8>{w}" + (f" x{k}" if k > 1 else "")])
+        x, k = text, 0
+        while (y := unread(x, w)) != x:  # each step leaves fewer characters, so it ends
+            k += 1
+            out.setdefault(y, NUMBER[_repeated(w, min(k, DEPTH))])
             x = y
     for w in MULTI:
         try:
@@ -135,10 +142,7 @@ def shortest(text: str) -> str:
     best = text
     for w in SINGLE:
         x = text
-        for _ in range(DEPTH):
-            y = unread(x, w)
-            if y == x:
-                break
+        while (y := unread(x, w)) != x:
             if len(y) < len(best) and _plausible(y) and not any("\u0180" <= c < "\u0300" for c in y):
                 best = y
             x = y
@@ -190,126 +194,144 @@ def hopeless(text: str) -> bool:
     return any(c == "�" or "\x80" <= c < "\xa0" for c in text)
 
 
+_TABLE = "grp string, field string, value string, n long, chains array<int>, texts array<string>, evidence array<array<int>>"
+
+
 def _candidates(batches):
     for b in batches:
-        rows = {"field": [], "value": [], "n": [], "chains": [], "texts": [], "evidence": []}
-        for field, value, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            found = restorations(value)
-            first = (1, None) if hopeless(value) else (0, value)
-            found = [first, *found]
-            rows["field"].append(field)
-            rows["value"].append(value)
-            rows["n"].append(n)
+        rows = {"grp": b.column(0), "field": b.column(1), "value": b.column(2), "n": b.column(3), "chains": [], "texts": [], "evidence": []}
+        for value in b.column(2).to_pylist():
+            found = [(1, None) if hopeless(value) else (0, value), *restorations(value)]
             rows["chains"].append([k for k, _ in found])
             rows["texts"].append([t for _, t in found])
             rows["evidence"].append([evidence(value if t is None else t) for _, t in found])
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("field", pa.string()), ("value", pa.string()), ("n", pa.int64()), ("chains", pa.list_(pa.int32())), ("texts", pa.list_(pa.string())), ("evidence", pa.list_(pa.list_(pa.int32())))]))
-
+        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("grp", pa.string()), ("field", pa.string()), ("value", pa.string()), ("n", pa.int64()), ("chains", pa.list_(pa.int32())), ("texts", pa.list_(pa.string())), ("evidence", pa.list_(pa.list_(pa.int32())))]))
 
-def _weights(chains, evidence_, prior: dict[int, float], theta: dict[int, float], low: float) -> list[float]:
-    """Posterior of each chain of one value."""
-    logs = []
-    for k, e in zip(chains, evidence_):
-        x = math.log(prior.get(k, 1e-6)) + sum(theta.get(v, low) for v in e)
-        if k == 1:  # beyond repair: below whatever can be repaired
-            x = -1e6
-        logs.append(x)
-    top = max(logs)
-    raw = [math.exp(x - top) for x in logs]
-    total = sum(raw)
-    return [r / total for r in raw]
 
-
-def _start_prior(k: int) -> float:
-    return 0.7 if k == 0 else 0.3 / len(CHAINS)
+def _starts(lists: pa.ListArray) -> np.ndarray:
+    """Where each list begins among all items, and the end."""
+    return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
 
 
 class Model:
-    """Chain priors per field and the distribution of evidence in correct text."""
-
-    def __init__(self, priors: dict[str, dict[int, float]], theta: dict[int, float], low: float) -> None:
-        self.priors, self.theta, self.low = priors, theta, low
-
-    def weigh(self, field: str, chains, evidence_) -> list[float]:
-        return _weights(chains, evidence_, self.priors.get(field, {}), self.theta, self.low)
-
-
-def _fit(table: DataFrame, fields: list[str]) -> Model:
+    """Log priors of the chains per group of values, and the log distribution of evidence in correct text."""
+
+    def __init__(self, groups: dict[str, int], priors: np.ndarray, theta: np.ndarray | None) -> None:
+        self.groups, self.priors, self.theta = groups, priors, theta
+
+    def weigh(self, b: pa.RecordBatch):
+        """(chain, posterior, value) of each candidate of a batch, its evidence and starts, and each value's log likelihood.
+
+        Without theta, evidence is not weighed yet. A value beyond repair stays so only if no chain explains it.
+        """
+        column = lambda name: b.column(b.schema.get_field_index(name))
+        chains, ev = column("chains"), column("evidence")
+        begin, k = _starts(chains), chains.flatten().to_numpy()
+        each = ev.flatten()
+        at, items = _starts(each), each.flatten().to_numpy()
+        value = np.repeat(np.arange(len(chains)), np.diff(begin))
+        group = np.array([self.groups[g] for g in column("grp").to_pylist()], int)
+        logs = self.priors[group[value], k]
+        if self.theta is not None:
+            upto = np.concatenate([[0.0], np.cumsum(self.theta[items])])
+            logs = np.where(k == 1, -1e6, logs + upto[at[1:]] - upto[at[:-1]])
+        top = np.maximum.reduceat(logs, begin[:-1])
+        raw = np.exp(logs - top[value])
+        total = np.add.reduceat(raw, begin[:-1])
+        return k, raw / total[value], value, group, items, at, begin, top + np.log(total)
+
+
+def _fit(table: DataFrame) -> Model:
     """EM over the candidates: which chain each value went through, and what correct text looks like.
 
-    A round adds up expected counts by chain and by evidence bucket, at most fields x chains + BUCKETS sums.
+    A round adds up expected counts by chain and by evidence bucket, at most groups x chains + BUCKETS sums, and the
+    log likelihood; the rounds end when it hardly rises.
     """
-    expected = _expected()
-    start = {f: {k: _start_prior(k) for k in range(len(CHAINS))} for f in fields}
-    model = Model(start, {}, math.log(1 / BUCKETS))  # the first round weighs by the priors alone
-    for turn in range(ROUNDS):
-
-        def expect(batches, model=model, turn=turn):
-            sums: dict[tuple[str, int], float] = {}
+    groups = {r["grp"]: i for i, r in enumerate(table.select("grp").distinct().orderBy("grp").collect())}
+    chains = len(CHAINS)
+    start = np.array([0.7 if k == 0 else 0.3 / chains for k in range(chains)])
+    expected = np.zeros(BUCKETS)
+    for v, x in _expected().items():
+        expected[v] = x
+    model, before = Model(groups, np.tile(np.log(start), (len(groups), 1)), None), -math.inf
+    for _ in range(MOST_ROUNDS if groups else 0):
+
+        def expect(batches, model=model):
+            by_chain, by_bucket, likelihood = np.zeros(len(model.groups) * chains), np.zeros(BUCKETS), 0.0
             for b in batches:
-                for field, n, chains, ev in zip(*(b.column(c).to_pylist() for c in ("field", "n", "chains", "evidence"))):
-                    w = model.weigh(field, chains, ev) if turn else [_start_prior(k) for k in chains]
-                    if not turn:
-                        w = [x / sum(w) for x in w]
-                    for k, x, e in zip(chains, w, ev):
-                        if x > 1e-9:
-                            sums[(field, k)] = sums.get((field, k), 0.0) + x * n
-                            if k != 1:
-                                for v in e:
-                                    sums[("", v)] = sums.get(("", v), 0.0) + x * n
-            yield pa.RecordBatch.from_pydict({"f": [k[0] for k in sums], "v": [k[1] for k in sums], "s": list(sums.values())}, schema=pa.schema([("f", pa.string()), ("v", pa.int32()), ("s", pa.float64())]))
-
-        got = table.select("field", "n", "chains", "evidence").mapInArrow(expect, "f string, v int, s double").groupBy("f", "v").agg(F.sum("s").alias("s")).collect()
-        counts = dict(expected)
-        for r in got:
-            if r["f"] == "":
-                counts[r["v"]] = counts.get(r["v"], 0.0) + r["s"]
-        total = sum(counts.values()) + ALPHA * BUCKETS
-        priors = {}
-        for f in fields:
-            own = {r["v"]: r["s"] for r in got if r["f"] == f}
-            size = sum(own.values()) + 1.0
-            priors[f] = {k: (own.get(k, 0.0) + _start_prior(k)) / size for k in range(len(CHAINS))}
-        model = Model(priors, {v: math.log((c + ALPHA) / total) for v, c in counts.items()}, math.log(ALPHA / total))
+                if not b.num_rows:
+                    continue
+                k, w, value, group, items, at, _, logs = model.weigh(b)
+                n = b.column(b.schema.get_field_index("n")).to_numpy()
+                w = w * n[value]
+                by_chain += np.bincount(group[value] * chains + k, w, len(by_chain))
+                by_bucket += np.bincount(items, np.repeat(np.where(k == 1, 0.0, w), np.diff(at)), BUCKETS)
+                likelihood += float((logs * n)[logs > -1e5].sum())
+            kinds = [(name, np.flatnonzero(sums), sums) for name, sums in (("chain", by_chain), ("bucket", by_bucket))]
+            yield pa.RecordBatch.from_pydict(
+                {"f": [name for name, some, _ in kinds for _ in some] + ["likelihood"], "v": [int(v) for _, some, _ in kinds for v in some] + [0], "s": [float(sums[v]) for _, some, sums in kinds for v in some] + [likelihood]},
+                schema=pa.schema([("f", pa.string()), ("v", pa.int32()), ("s", pa.float64())]),
+            )
+
+        got = table.select("grp", "n", "chains", "evidence").mapInArrow(expect, "f string, v int, s double").groupBy("f", "v").agg(F.sum("s").alias("s")).collect()
+        counts, own, likelihood = expected.copy(), np.zeros(len(groups) * chains), 0.0
+        for f, v, x in got:
+            if f == "bucket":
+                counts[v] += x
+            elif f == "chain":
+                own[v] = x
+            else:
+                likelihood = x
+        own = own.reshape(len(groups), chains)
+        priors = (own + start) / (own.sum(axis=1, keepdims=True) + 1.0)
+        weighed = model.theta is not None
+        model = Model(groups, np.log(priors), np.log((counts + ALPHA) / (counts.sum() + ALPHA * BUCKETS)))
+        if weighed:
+            if likelihood - before <= GAIN * abs(likelihood):
+                break
+            before = likelihood
     return model
 
 
-def repairs(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def repairs(df: DataFrame, key: str, fields: list[str], source: str | None = None) -> DataFrame:
     """(key, field, value, repaired, chain, posterior) of the values that were decoded with a wrong encoding.
 
     Every value beyond ASCII is a mixture: it is correct, or went through one of CHAINS (a charset read as
-    another, up to DEPTH times over, in the whole value or in parts of it). For each chain that could have led to the
+    another, or the same one time after time, in the whole value or in parts of it). For each chain that could have led to the
     value its former text is worked out. EM pools the evidence of all records: how common each chain is in
-    each field of this source, and which characters stand in which surroundings in correct text; a value is
+    each field of each source (the column `source`, a handful of values; without it df is one source), and which
+    characters stand in which surroundings in correct text; a value is
     damaged if correct text is the less likely explanation, and its repair is the former text of the likeliest chain.
 
     Values that hold the replacement character or stray controls are damaged in any case; repaired is null if
     no chain explains them, and holds what can be had if parts are lost. Correct text of any script is
-    kept by its own frequency. Null and ASCII values are correct. Distinct values are weighed once, with the
+    kept by its own frequency. Null and ASCII values are correct; a null source is a source. Distinct values are weighed once, with the
     number of rows that have them. df holds one row per record; an empty input gives no rows.
     """
     field = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("x")
-    values = df.select(F.col(key), field).select(key, "x.field", "x.value").where(r"value rlike '[^\\x00-\\x7f]'")
-    distinct = values.groupBy("field", "value").agg(F.count("*").alias("n"))
+    origin = F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit("")
+    values = df.select(F.col(key), origin.alias("_source"), field).select(key, F.concat_ws("\x1f", "_source", "x.field").alias("grp"), "x.field", "x.value").where(r"value rlike '[^\x00-\x7f]'")
+    distinct = values.groupBy("grp", "field", "value").agg(F.count("*").alias("n"))
     distinct = distinct.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "field", "value")  # Python work: as many tasks, however few bytes
-    table = durable(distinct.mapInArrow(_candidates, "field string, value string, n long, chains array<int>, texts array<string>, evidence array<array<int>>"))
-    model = _fit(table, fields)
+    table = durable(distinct.mapInArrow(_candidates, _TABLE))
+    model = _fit(table)
 
     def decide(batches):
         for b in batches:
-            rows = {"field": [], "value": [], "repaired": [], "chain": [], "posterior": []}
-            for field, value, chains, texts, ev in zip(*(b.column(c).to_pylist() for c in ("field", "value", "chains", "texts", "evidence"))):
-                w = model.weigh(field, chains, ev)
-                damaged = 1 - (w[0] if chains[0] == 0 else 0.0)
-                if damaged <= 0.5:
-                    continue
-                best = max((i for i in range(len(w)) if chains[i] != 0), key=lambda i: w[i])
-                rows["field"].append(field)
-                rows["value"].append(value)
-                rows["repaired"].append(texts[best])
-                rows["chain"].append(CHAINS[chains[best]])
-                rows["posterior"].append(damaged)
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("field", pa.string()), ("value", pa.string()), ("repaired", pa.string()), ("chain", pa.string()), ("posterior", pa.float64())]))
-
-    found = table.select("field", "value", "chains", "texts", "evidence").mapInArrow(decide, "field string, value string, repaired string, chain string, posterior double")
-    return values.join(found, ["field", "value"]).select(key, "field", "value", "repaired", "chain", "posterior")
+            rows = {"grp": [], "value": [], "repaired": [], "chain": [], "posterior": []}
+            if b.num_rows:
+                k, w, _, _, _, _, begin, _ = model.weigh(b)
+                fine = np.where(k[begin[:-1]] == 0, w[begin[:-1]], 0.0)
+                grp, value, texts = (b.column(b.schema.get_field_index(c)) for c in ("grp", "value", "texts"))
+                for i in np.flatnonzero(fine < 0.5):
+                    cands = range(begin[i], begin[i + 1])
+                    best = max((j for j in cands if k[j] != 0), key=lambda j: w[j])
+                    rows["grp"].append(grp[i].as_py())
+                    rows["value"].append(value[i].as_py())
+                    rows["repaired"].append(texts[i].as_py()[best - begin[i]])
+                    rows["chain"].append(CHAINS[k[best]])
+                    rows["posterior"].append(float(1 - fine[i]))
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("grp", pa.string()), ("value", pa.string()), ("repaired", pa.string()), ("chain", pa.string()), ("posterior", pa.float64())]))
+
+    found = table.select("grp", "value", "chains", "texts", "evidence").mapInArrow(decide, "grp string, value string, repaired string, chain string, posterior double")
+    return values.join(found, ["grp", "value"]).select(key, "field", "value", "repaired", "chain", "posterior")

@@ -38,7 +38,7 @@ def _terms(spark, d, n):
 
 
 def p3_found(spark, d):
-    return _terms(spark, d, 3).where("n = 1 and mark is not null").select("field", "term", "mark")
+    return _terms(spark, d, 1).where("mark is not null").select("field", "term", "mark")
 
 
 def p3_ngrams(spark, d):
@@ -140,7 +140,7 @@ _TERMS = """
   f AS (SELECT entity_id, 'business_name' AS field, business_name AS v FROM r UNION ALL SELECT entity_id, 'business_address', business_address FROM r),
   l AS (SELECT entity_id, field, list_transform(regexp_extract_all(v, '[A-Za-z0-9]+'), lambda x: lower(x)) AS t FROM f WHERE v IS NOT NULL),
   p AS (SELECT entity_id, field, t, unnest(range(1, len(t) + 1)) AS i FROM l),
-  g AS (SELECT entity_id, field, k AS n, array_to_string(t[i:i + k - 1], ' ') AS term FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(t)),
+  g AS (SELECT entity_id, field, k AS n, array_to_string(t[i:i + k - 1], ' ') AS term FROM (SELECT *, unnest(range(1, len(t) - i + 2)) AS k FROM p)),
   c AS (SELECT field, CAST(n AS INT) AS n, term, count(*) AS occurrences, count(DISTINCT entity_id) AS records FROM g GROUP BY ALL),
   m AS (SELECT *, CASE WHEN records = 1 THEN 'rare' WHEN records * 50 > (SELECT count(DISTINCT entity_id) FROM test_source2) THEN 'common' END AS mark FROM c)"""
 

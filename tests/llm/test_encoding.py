@@ -48,3 +48,23 @@ def test_empty_and_long(spark):
     assert repairs(spark.createDataFrame([("a", "plain")], kind), "entity_id", ["business_name"]).count() == 0
     got = repairs(spark.createDataFrame([("a", "CafÃ© " * 20000), ("b", "Café")], kind), "entity_id", ["business_name"]).collect()
     assert [(r["entity_id"], r["repaired"]) for r in got] == [("a", "Café " * 20000)]
+
+
+@pytest.mark.parametrize("charset", ["cp1252", "mac_roman"])
+def test_any_depth(spark, charset):
+    """Text misread four and six times comes back, and nothing is left garbled without notice."""
+    rows = [(f"g{i}", w) for i, w in enumerate(WORDS * 20)]
+    for k in (4, 6):
+        x = "Café de la Forêt"
+        for _ in range(k):
+            x = misread(x, charset)
+        rows.append((f"b{k}", x))
+        assert "Café de la Forêt" in [t for _, t in restorations(x)] and (charset != "cp1252" or shortest(x) == "Café de la Forêt")
+    got = {r["entity_id"]: (r["repaired"], r["chain"]) for r in repairs(spark.createDataFrame(rows, "entity_id string, business_name string"), "entity_id", ["business_name"]).collect()}
+    assert got == {k: ("Café de la Forêt", f"utf8>{charset} x3+") for k in ("b4", "b6")}
+
+
+def test_sources_have_priors_of_their_own(spark):
+    good = [(f"g{i}", w, s) for i, w in enumerate(WORDS * 10) for s in ("a", None)]
+    got = repairs(spark.createDataFrame([*good, ("b", "CafÃ© Ã", "a")], "entity_id string, business_name string, src string"), "entity_id", ["business_name"], "src").collect()
+    assert [r["entity_id"] for r in got] == ["b"]
