@@ -310,7 +310,7 @@ def repairs(df: DataFrame, key: str, fields: list[str], source: str | None = Non
     """
     field = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("x")
     origin = F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit("")
-    values = df.select(F.col(key), origin.alias("_source"), field).select(key, F.concat_ws("\x1f", "_source", "x.field").alias("grp"), "x.field", "x.value").where(r"value rlike '[^\x00-\x7f]'")
+    values = df.select(F.col(key), origin.alias("_source"), field).select(key, F.concat_ws("\x1f", "_source", "x.field").alias("grp"), "x.field", "x.value").where(r"value rlike '[^\\x00-\\x7f]'")
     distinct = values.groupBy("grp", "field", "value").agg(F.count("*").alias("n"))
     distinct = distinct.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "field", "value")  # Python work: as many tasks, however few bytes
     table = durable(distinct.mapInArrow(_candidates, _TABLE))
