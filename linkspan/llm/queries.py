@@ -11,9 +11,10 @@ from linkspan.llm.linkage import link
 from linkspan.llm.mixing import mix_sources
 from linkspan.llm.places_match import prepared, same_places
 from linkspan.llm.residue import residue
-from linkspan.llm.splits import assign_rows, components, split_components
+from linkspan.llm.splits import assign_rows, assigned, components, kept_together, members, report, split_components
 from linkspan.llm.terms import marked, term_frequencies
 from linkspan.llm.topn import top_n
+from linkspan.plans.durable import durable
 from linkspan.sources.tables import records, table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -55,13 +56,33 @@ def p4_found(spark, d):
     return p4_matches(spark, d).drop("confidence")
 
 
+def _members(spark, d):
+    return members(table(spark, d, "candidate_pairs"), canonical_id(F.col("source1_entity_id")), "source1_entity_id", F.col("fired_chan_a") == 1)
+
+
 def _splits(spark, d):
-    comps = components(table(spark, d, "candidate_pairs"), canonical_id(F.col("source1_entity_id")), "source1_entity_id", F.col("fired_chan_a") == 1)
-    return split_components(comps, SHARES)
+    return split_components(components(_members(spark, d)), SHARES)
+
+
+def _assigned(spark, d):
+    stored = _members(spark, d)
+    return assigned(stored, split_components(components(stored), SHARES))
 
 
 def p5_found(spark, d):
-    return _splits(spark, d).where("forms > 1").select(F.col("id").alias("source1_entity_id"))
+    return kept_together(_assigned(spark, d)).select(F.col("id").alias("source1_entity_id"))
+
+
+def p5_report(spark, d):
+    return report(_assigned(spark, d), SHARES)
+
+
+def p5_check(spark, d):
+    """One row of what must hold of the assignment: all rows with an id placed, no id torn apart, shares of rows and labels within 0.001."""
+    placed = durable(_assigned(spark, d))
+    torn = placed.groupBy("id").agg(F.countDistinct("split").alias("n")).where("n > 1").count()
+    off = F.greatest(F.abs(F.col("row_share") - F.col("target")), F.abs(F.col("label_share") - F.col("target")))
+    return report(placed, SHARES).agg(F.sum("rows").alias("rows"), F.sum("positives").alias("positives"), F.count("*").alias("splits"), F.lit(torn).alias("torn"), (F.max(off) <= 0.001).alias("within"))
 
 
 def p5_splits(spark, d):
@@ -122,6 +143,8 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_splits": p5_splits,
     "p5_rows": p5_rows,
+    "p5_report": p5_report,
+    "p5_check": p5_check,
     "p7_found": p7_found,
     "p7_rewrites": p7_rewrites,
     "p8_ids": p8_ids,
@@ -152,5 +175,6 @@ SELECT source1_entity_id, candidate_entity_id FROM p
 QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY s DESC, candidate_entity_id) <= 10""",
     "p3_found": f"WITH {_TERMS} SELECT field, term, mark FROM m WHERE n = 1 AND mark IS NOT NULL",
     "p3_ngrams": f"WITH {_TERMS} SELECT field, n, term, occurrences, records, mark FROM m",
+    "p5_check": "SELECT count(*) AS rows, CAST(sum(CASE WHEN fired_chan_a = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives, 3 AS splits, 0 AS torn, true AS within FROM candidate_pairs WHERE source1_entity_id IS NOT NULL",
     "p5_found": f"SELECT {_CANONICAL} AS source1_entity_id FROM candidate_pairs WHERE source1_entity_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source1_entity_id) > 1",
 }

@@ -9,33 +9,60 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkspan.plans.durable import durable
+from linkspan.plans.skew import all_salts, salt, salts_by_slot
 
 CELLS = 4096
 #: A component of more than 1/LARGE of all rows is a cell by itself; there are fewer than LARGE of them.
 LARGE = 2000
+#: Annealing steps for each unit, and at least.
+STEPS, LEAST_STEPS = 50, 20_000
 
 
-def components(df: DataFrame, canonical: Column, stored: str, label: Column | None = None) -> DataFrame:
-    """One row per component: id, its rows, the rows with the label, and how many stored forms its id has.
+def members(df: DataFrame, canonical: Column, stored: str, label: Column | None = None) -> DataFrame:
+    """One row per member (stored form) of a component: id, form, its rows and the rows with the label; written once.
 
-    Counts first by (id, stored form) and then by id, so a component with a third of all rows is only counts
-    by the time it moves.
+    Rows are counted where they lie before they move, so a component with a third of all rows is only counts by then.
     """
     label = F.lit(False) if label is None else F.coalesce(label, F.lit(False))
-    return (
-        df.select(canonical.alias("id"), F.col(stored).alias("form"), label.cast("long").alias("y")).where("id is not null")
-        .groupBy("id", "form").agg(F.count("*").alias("rows"), F.sum("y").alias("positives"))
-        .groupBy("id").agg(F.sum("rows").alias("rows"), F.sum("positives").alias("positives"), F.count("*").alias("forms"))
-    )
+    rows = df.select(canonical.alias("id"), F.col(stored).alias("form"), label.cast("long").alias("y")).where("id is not null")
+    return durable(rows.groupBy("id", "form").agg(F.count("*").alias("rows"), F.sum("y").alias("positives")))
 
 
-def anneal(cells: list[tuple[str, int, int]], shares: list[float], seed: int, steps: int = 20_000) -> tuple[float, list[int]]:
+def components(members: DataFrame) -> DataFrame:
+    """One row per component: id, its rows, the rows with the label, and how many stored forms its id has."""
+    return members.groupBy("id").agg(F.sum("rows").alias("rows"), F.sum("positives").alias("positives"), F.count("*").alias("forms"))
+
+
+def assigned(members: DataFrame, splits: DataFrame) -> DataFrame:
+    """The members, each with the split of its component."""
+    return members.join(splits.select("id", "split"), "id")
+
+
+def kept_together(placed: DataFrame) -> DataFrame:
+    """(id, forms, split): components of several stored forms all of whose members were assigned to one split."""
+    found = placed.groupBy("id").agg(F.count("*").alias("forms"), F.min("split").alias("split"), F.max("split").alias("_last"))
+    return found.where("forms > 1 and split = _last").drop("_last")
+
+
+def report(placed: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """(split, target, rows, positives, row_share, label_share) of the assigned members, a row for each split that has any."""
+    total = sum(shares.values())
+    target = F.create_map(*[F.lit(x) for s, v in shares.items() for x in (s, v / total)])
+    sums = placed.groupBy("split").agg(F.sum("rows").alias("rows"), F.sum("positives").alias("positives"))
+    every = placed.agg(F.sum("rows").alias("_rows"), F.sum("positives").alias("_positives"))
+    share = lambda c: F.when(F.col(f"_{c}") > 0, F.col(c) / F.col(f"_{c}")).otherwise(0.0)
+    return sums.join(F.broadcast(every)).select("split", target[F.col("split")].alias("target"), "rows", "positives", share("rows").alias("row_share"), share("positives").alias("label_share"))
+
+
+def anneal(cells: list[tuple[str, int, int]], shares: list[float], seed: int, steps: int | None = None) -> tuple[float, list[int]]:
     """Assign cells (key, rows, positives) to len(shares) splits; returns (cost, split of each cell).
 
     Starts from an assignment by hash and proposes moving one cell or exchanging two, at falling temperature.
     The cost adds up the splits' deviations in rows and in positives, each as a share of the total. The best
-    assignment met is returned, so the result is never worse than the start.
+    assignment met is returned, so the result is never worse than the start. Steps go with the number of cells.
     """
+    steps = max(LEAST_STEPS, STEPS * len(cells)) if steps is None else steps
     rng = random.Random(seed)
     k, total, positives = len(shares), max(1, sum(c[1] for c in cells)), max(1, sum(c[2] for c in cells))
     bounds = [sum(shares[: i + 1]) for i in range(k)]
@@ -95,6 +122,7 @@ def split_components(comps: DataFrame, shares: dict[str, float], seed: int = 42,
     """
     spark = comps.sparkSession
     names, weights = list(shares), [shares[s] / sum(shares.values()) for s in shares]
+    comps = durable(comps)
     total = comps.agg(F.sum("rows")).first()[0] or 0
     unit = F.when(F.col("rows") > total / LARGE, F.concat(F.lit("c"), F.col("id"))).otherwise(F.concat(F.lit("h"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(CELLS)).cast("string")))
     comps = comps.withColumn("unit", unit)
@@ -118,8 +146,6 @@ def assign_rows(df: DataFrame, canonical: Column, splits: DataFrame, shares: dic
 
     The splits meet the rows on (id, salt), with as many salts as the id's slot of rows needs.
     """
-    from linkspan.plans.skew import all_salts, salt, salts_by_slot
-
     names, bounds, upto = list(shares), [], 0.0
     for s in names:
         bounds.append(upto := upto + shares[s] / sum(shares.values()))

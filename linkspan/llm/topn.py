@@ -10,6 +10,8 @@ from linkspan.plans.skew import all_salts, salt, salts_by_slot
 
 #: Cells of a group's score histogram.
 CELLS = 64
+#: Quantiles of the scores between which the cells lie.
+QUANTILES = (0.001, 0.999)
 
 
 def top_n(df: DataFrame, group: str, item: str, score: str, n: int = 10) -> DataFrame:
@@ -17,8 +19,8 @@ def top_n(df: DataFrame, group: str, item: str, score: str, n: int = 10) -> Data
 
     1. Rows are placed once by (group, salt); only groups in slots that hold over 1/256 of all rows have
        more than one salt. There, an item that occurs more than once keeps its highest score.
-    2. A histogram of scores per group, over cells between the least and the greatest score of all, gives
-       the highest cell at or above which the group has n items at least: everything below it is dropped,
+    2. A histogram of scores per group, over cells between two outer quantiles of all scores (a few wild scores
+       fall into the cells at the ends and leave the others as fine as they are), gives the highest cell at or above which the group has n items at least: everything below it is dropped,
        where the rows already lie.
     3. Only what is left moves to its group and is ranked exactly. Should a cell still hold very many rows
        (equal scores), Spark's partial rank keeps n of them per task before they move.
@@ -27,7 +29,8 @@ def top_n(df: DataFrame, group: str, item: str, score: str, n: int = 10) -> Data
     of fewer than n items come out whole. Returns (group, item, score, rank). An empty input gives no rows.
     """
     rows = df.select(F.col(group).alias("g"), F.col(item).alias("i"), F.col(score).cast("double").alias("s")).where("g is not null and i is not null and s is not null and not isnan(s)")
-    lo, hi = rows.agg(F.min(F.when(F.abs("s") < float("inf"), F.col("s"))), F.max(F.when(F.abs("s") < float("inf"), F.col("s")))).first()
+    finite = F.when(F.abs("s") < float("inf"), F.col("s"))
+    lo, hi = rows.agg(F.percentile_approx(finite, list(QUANTILES), 1000).alias("q")).first()["q"] or (None, None)
     salts = salts_by_slot(rows, F.col("g"))
     placed = (
         rows.withColumn("salt", salt(F.col("g"), F.col("i"), salts))

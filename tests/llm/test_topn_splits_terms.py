@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkspan.llm import topn
 from linkspan.llm.ids import canonical_id
-from linkspan.llm.splits import anneal, assign_rows, components, split_components
+from linkspan.llm.splits import anneal, assign_rows, assigned, components, kept_together, members, report, split_components
 from linkspan.llm.terms import marked, term_frequencies
 from linkspan.plans import skew
 
@@ -56,7 +56,8 @@ def test_components_and_splits(spark):
     data = [(f"S1-{i:09d}" if rng.random() < 0.8 else f"s1:{i}", j, i % 3 == 0) for i in range(400) for j in range(rng.randrange(1, 9))]
     data += [("S1-000000000", j, True) for j in range(300)] + [(None, 1, True), ("S1-5", 1, None)]
     df = spark.createDataFrame(data, "sid string, item int, y boolean")
-    comps = components(df, canonical_id(F.col("sid")), "sid", F.col("y"))
+    stored = members(df, canonical_id(F.col("sid")), "sid", F.col("y"))
+    comps = components(stored)
     got = {r["id"]: r for r in comps.collect()}
     count, forms = Counter(), defaultdict(set)
     for sid, _, _ in data:
@@ -66,6 +67,11 @@ def test_components_and_splits(spark):
             forms[k].add(sid)
     assert {int(k[3:]): (r["rows"], r["forms"]) for k, r in got.items()} == {k: (count[k], len(forms[k])) for k in count}
     splits = split_components(comps, SHARES)
+    placed = assigned(stored, splits)
+    assert {r["id"] for r in kept_together(placed).collect()} == {r["id"] for r in comps.where("forms > 1").collect()}
+    assert sum(r["rows"] for r in report(placed, SHARES).collect()) == comps.agg(F.sum("rows")).first()[0]
+    torn = placed.withColumn("split", F.when(F.col("form") == F.lit("S1-1"), "nowhere").otherwise(F.col("split")))
+    assert {r["id"] for r in kept_together(placed).collect()} - {r["id"] for r in kept_together(torn).collect()} <= {"S1-000000001"}
     size = Counter()
     for r in splits.collect():
         size[r["split"]] += r["rows"]
@@ -144,3 +150,16 @@ def test_ngrams_have_no_bound(spark, small):
     longest = QUERIES["p3_ngrams"](spark, small).agg(F.max("n")).first()[0]
     values = spark.read.parquet(f"{small}/test_source2.parquet").select("business_name", "business_address").collect()
     assert longest == max(len(re.findall("[A-Za-z0-9]+", v or "")) for r in values for v in r) > 3
+
+
+def test_steps_go_with_the_units():
+    rng = random.Random(4)
+    cells = [(str(i), rng.randrange(1, 60), rng.randrange(0, 9)) for i in range(3000)]
+    cost, at = anneal(cells, [0.8, 0.1, 0.1], 7)
+    assert cost < 0.001 and set(at) == {0, 1, 2}
+
+
+def test_one_wild_score_leaves_the_filter_sharp(spark):
+    rows = [("g", f"i{i:04d}", float(i % 997)) for i in range(2000)] + [("g", "wild", 1e300), ("g", "low", -1e300), ("h", "a", float("inf"))]
+    got = top_n(spark.createDataFrame(rows, "g string, i string, s double"), "g", "i", "s", 5)
+    assert [(r["g"], r["i"]) for r in got.orderBy("g", "rank").collect()] == [("g", "wild"), ("g", "i0996"), ("g", "i1993"), ("g", "i0995"), ("g", "i1992"), ("h", "a")]
