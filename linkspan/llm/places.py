@@ -26,11 +26,13 @@ COUNTRIES = frozenset("india us france usa cedex bharat".split())
 
 _LANDMARKS, _UNITS, _FLOORS, _BOX = (re.compile(x) for x in (LANDMARKS, UNITS, FLOORS, BOX))
 _BREAKS = re.compile(r"[,;|\n\r\t/()]+|\s[-–—]+\s")
-_MARKED = re.compile(r"(?:\b(?:plot|d|door|house)\b[.\s]*)?(?:\bno(?![^\W\d_])|\bn[°º]|\bn(?=\s?[0-9]{1,4}\b)|[°º])[.°º\s]*#?\s*([0-9]{1,4})\b(?!\s*-?[0-9])")
-_HASH = re.compile(r"#\s*([0-9]{1,4})\b")
-_HASH_STREET = re.compile(r"#\s*([0-9]{1,4})\b(?=,?\s*[^\W\d_]+\b\.?\s+[^\W\d_])")
-_PLAIN = re.compile(r"(?<![0-9a-z])([0-9]{1,4})(?![0-9a-z])")
+_MARKED = re.compile(r"(?:\b(?:plot|d|door|house)\b[.\s]*)?(?:\bno(?![^\W\d_])|\bn[°º]|\bn(?=\s?[0-9]{1,4}\b)|[°º])[.°º\s]*#?\s*([0-9]{1,4}[a-z]?|[0-9]{5}(?=,?\s+[a-z]))\b(?!\s*-?[0-9])")
+_HASH = re.compile(r"#\s*([0-9]{1,4}[a-z]?)\b")
+_HASH_STREET = re.compile(r"#\s*([0-9]{1,4}[a-z]?)\b(?=,?\s*[^\W\d_]+\b\.?\s+[^\W\d_])")
+_PLAIN = re.compile(r"(?<![0-9a-z])([0-9]{1,5}[a-z]?)(?![0-9a-z])")
 _CODE = re.compile(r"(?<![0-9])([0-9]{5,6})(?![0-9])")
+#: Right of a number of five digits, words of the same piece: a house number, if another number can be the code.
+_BEFORE_WORDS = re.compile(r"[a-z]?\s+[^\W\d_]{2}")
 _WORD = re.compile(r"[^\W\d_]+")
 _INDIC = re.compile(r"[\u0900-\u0dff\u200c\u200d]+")
 #: Street types by the skeleton that their spelling in an Indic script leaves.
@@ -40,7 +42,7 @@ _TYPE_SKELETONS = {skeleton(w): w for w in ("road", "street", "lane", "chowk", "
 def parse(text: str | None) -> dict | None:
     """Number, code and words of an address in order, each word with its segment; null if there's no text.
 
-    num is the house number without leading zeros (null if none), code the postal code (null if none), words
+    num is the house number without leading zeros, with its letter if it has one (null if none), code the postal code (null if none), words
     the folded words after units, floors, landmarks and country names are taken out, segs their segments,
     at the segment in which the number stands (-1 if none) and native the skeletons of words that were
     written in an Indic script.
@@ -56,8 +58,11 @@ def parse(text: str | None) -> dict | None:
     t = _LANDMARKS.sub(" , ", t)
     t = _UNITS.sub(" , ", t)
     code = None
-    m = _CODE.search(t)
-    if m:
+    codes = list(_CODE.finditer(t))
+    if len(codes) > 1:
+        codes = [m for m in codes if len(m.group(1)) == 6 or not _BEFORE_WORDS.match(t, m.end())] or codes[-1:]
+    if codes:
+        m = codes[0]
         code = m.group(1)
         t = t[: m.start()] + " \x01 " + t[m.end() :]
     num = None

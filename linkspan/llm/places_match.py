@@ -59,7 +59,7 @@ def compared(pairs: DataFrame) -> DataFrame:
     found = "exists(r_words, w -> " + alike("n", "w") + ")"
     native = "(size(r_native) > 0 and forall(l_skeletons, s -> exists(r_native, w -> w = s or (length(s) >= 4 and levenshtein(s, w, 1) between 0 and 1))))"
     street = f"case when size(l_name) = 0 or size(r_words) = 0 then null else forall(l_name, n -> {found}) or {native} end"
-    town = f"case when size(l_town) = 0 or size(r_words) = 0 then null else exists(filter(l_town, n -> length(n) >= 4 and n not in ('city', 'falls')), n -> {found}) end"
+    town = f"case when size(l_town) = 0 or size(r_words) = 0 then null else exists(slice(filter(l_town, n -> length(n) >= 4), 1, 1), n -> {found}) end"
     return (
         pairs.withColumn("street_ok", F.expr(street))
         .withColumn("town_ok", F.expr(town))

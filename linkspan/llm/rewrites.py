@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from linkspan.llm.places import DIRECTIONS, TYPES
 from linkspan.plans.durable import durable, release
+from linkspan.plans.skew import all_salts, salt, salts_by_slot
 
 #: Least likelihood ratio (G squared; 15.1 is p < 0.0001) and least support of a rewrite.
 G2 = 15.1
@@ -27,37 +28,47 @@ def _related(a: str, b: str) -> str:
 
 
 def facing(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): the words that two addresses don't share, for each pair that agrees elsewhere.
+    """(lw, rw): the words of two addresses with equal number and postal code, for each pair of distinct writings.
 
-    Addresses agree elsewhere when number and postal code are equal and a word of four letters or more is
-    shared. Distinct writings of a place are compared, not records.
+    Writings are compared, not records. A number and code with very many writings meet in salted pieces.
     """
     short = lambda df, w: df.where("num is not null and code is not null and size(words) > 0").select("num", "code", F.array_sort(F.array_distinct("words")).alias(w)).distinct()
-    pairs = short(left, "lw").join(short(right, "rw"), ["num", "code"])
-    pairs = pairs.where("exists(array_intersect(lw, rw), w -> length(w) >= 4)").select(F.array_except("lw", "rw").alias("a"), F.array_except("rw", "lw").alias("b"))
-    return pairs.where("size(a) between 1 and 6 and size(b) between 1 and 6")
+    l, r = short(left, "lw"), short(right, "rw")
+    key = F.struct("num", "code")
+    salts = salts_by_slot(l, key)
+    l, r = l.withColumn("salt", salt(key, F.col("lw"), salts)), r.withColumn("salt", all_salts(key, salts) if salts else F.lit(0))
+    return l.join(r, ["num", "code", "salt"]).select("lw", "rw")
 
 
-def aligned(pairs: DataFrame) -> DataFrame:
-    """(a, b, n): how often word a of a left address faces word b of a right one, at most three words being left over on either side."""
-    pairs = pairs.where("size(a) between 1 and 3 and size(b) between 1 and 3")
-    return pairs.select(F.explode("a").alias("a"), "b").select("a", F.explode("b").alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+def agreeing(pairs: DataFrame) -> DataFrame:
+    """(a, b): the words that two writings don't share, of the pairs that share one of four letters or more."""
+    met = pairs.where("exists(array_intersect(lw, rw), w -> length(w) >= 4)")
+    return met.select(F.array_except("lw", "rw").alias("a"), F.array_except("rw", "lw").alias("b")).where("size(a) > 0 and size(b) > 0")
 
 
-def significant(counts: DataFrame, frequency: DataFrame) -> DataFrame:
-    """(src, dst) of the word pairs that face each other far more often than chance, the best for each src.
+def aligned(left_over: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b, n), (a, na), (b, nb): in how many pairs of writings the words a and b are left over together, and each at all.
+
+    Words are counted apart from their pairs, and pairs only of words that could be forms of each other, so the work
+    goes with the words of an address.
+    """
+    near = "(left(x, 1) = left(y, 1) or (length(x) >= 5 and length(y) >= 5 and abs(length(x) - length(y)) <= 2))"
+    both = left_over.select(F.explode(F.expr(f"flatten(transform(a, x -> transform(filter(b, y -> {near}), y -> struct(x as a, y as b))))")).alias("p"))
+    count = lambda c, n: left_over.select(F.explode(c).alias(c)).groupBy(c).agg(F.count("*").alias(n))
+    return both.groupBy("p.a", "p.b").agg(F.count("*").alias("n")), count("a", "na"), count("b", "nb")
+
+
+def significant(counts: DataFrame, na: DataFrame, nb: DataFrame, total: int, frequency: DataFrame) -> DataFrame:
+    """(src, dst) of the word pairs that face each other in far more of the `total` pairs of writings than chance, the best for each src.
 
     The likelihood ratio sets a pair's count against those of its words. The longer word is the full form;
     of a word and its misspelling, the one that occurs more often. Street types and compass directions in full
     are never rewritten.
     """
-    total = counts.agg(F.sum("n")).first()[0] or 0
     related = counts.where(_related("a", "b") + " or " + _related("b", "a"))
     fixed = F.lit(False)
     for words in (TYPES, DIRECTIONS):
         fixed = fixed | (F.col("a").isin(words) & F.col("b").isin(words))
-    na = counts.groupBy("a").agg(F.sum("n").alias("na"))
-    nb = counts.groupBy("b").agg(F.sum("n").alias("nb"))
     x = related.where(~fixed & (F.col("n") >= SUPPORT)).join(na, "a").join(nb, "b")
     expected = F.col("na") * F.col("nb") / F.lit(float(max(total, 1)))
     x = x.withColumn("g2", 2 * F.col("n") * F.log(F.col("n") / expected)).where(F.col("g2") >= G2)
@@ -72,14 +83,14 @@ def significant(counts: DataFrame, frequency: DataFrame) -> DataFrame:
     return both.withColumn("k", best).where("k = 1").select("src", "dst")
 
 
-def rewrite(df: DataFrame, rules: DataFrame | None, columns: list[str]) -> DataFrame:
+def rewrite(df: DataFrame, rules: DataFrame | None, columns: list[str], in_map: int | None = None) -> DataFrame:
     """df with every word that has a rule replaced, in each of the array columns.
 
     Up to IN_MAP rules go to every task; more of them meet the words in a join.
     """
     if rules is None:
         return df
-    if rules.count() <= IN_MAP:
+    if rules.count() <= (IN_MAP if in_map is None else in_map):
         table = {r["src"]: r["dst"] for r in rules.collect()}
 
         def run(batches):
@@ -105,8 +116,9 @@ def rewrite(df: DataFrame, rules: DataFrame | None, columns: list[str]) -> DataF
 def normalised(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Both tables of parsed addresses with words in full form, and the rules (round, src, dst) applied.
 
-    Each round mines rewrites from what the addresses look like by then, applies them, and compares again;
-    it ends when no new rewrite appears. A word is never given a second rule, so the rounds end.
+    Each round rewrites the writings by the rules found so far, matches them again (pairs that agree only by then
+    enter, and those that agree in full drop out), and mines what their left-over words tell; it ends when
+    no new rewrite appears. A word is never given a second rule, so the rounds end.
     """
     spark = left.sparkSession
     words = left.select(F.explode("words").alias("word")).unionAll(right.select(F.explode("words").alias("word")))
@@ -115,11 +127,12 @@ def normalised(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame,
     rules, turn = None, 0
     while True:
         turn += 1
-        now = pairs if rules is None else rewrite(pairs, rules, ["a", "b"]).select(F.array_except("a", "b").alias("a"), F.array_except("b", "a").alias("b"))
-        found = significant(durable(aligned(now)), frequency)
+        now = durable(agreeing(rewrite(pairs, rules, ["lw", "rw"])))
+        found = significant(*aligned(now), now.count(), frequency)
         if rules is not None:
             found = found.join(rules.select("src"), "src", "left_anti")
         found = durable(found.withColumn("round", F.lit(turn)).select("round", "src", "dst"))
+        release(now)
         if not found.take(1):
             break
         # A rule whose full form has a rule itself in this round waits for the next.
