@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
+from http import HTTPStatus
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +42,7 @@ LOREM = frozenset(
 MARKERS = frozenset("tbd todo test asdf qwer qwerty foo bar baz xxx lorem ipsum".split())
 #: Words of a line outside its slots from which it may be a sentence about slots.
 PROSE_WORDS = 8
-#: Longer lines are no messages.
+#: A line of its own longer than this is content by itself; its key is a digest.
 LONG = 200
 #: A line is a message if it occurs in this many hosts and texts, and this share of them has no content of its own.
 HOSTS, TEXTS, SHARE = 3, 4, 0.6
@@ -53,16 +54,8 @@ COMPANY = 3
 MIRRORED = 35
 #: Most message keys that are broadcast; beyond it they meet the lines in a join.
 MOST_BROADCAST = 100_000
-# Signs of an error, a notice or filler in a line too rare to be judged by its company.
-SIGN_PHRASES = [
-    "javascript", "scripts disabled", "scripts switched off", "turn on scripts", "allow js", "enable js", "needs scripts", "browser is not supported",
-    "page not found", "403 forbidden", "404 not found", "internal server error", "service unavailable", "bad gateway", "gateway time", "access denied", "session expired", "too many requests",
-    "fatal error:", "exception:", "sqlstate", "you are not a robot", "no longer available", "domain is parked", "account has been suspended", "something broke",
-    "page introuvable", "accès refusé", "erreur interne du serveur", "momentanément indisponible", "session a expiré", "seite nicht gefunden", "zugriff verweigert", "interner serverfehler", "vorübergehend nicht erreichbar", "sitzung ist abgelaufen",
-    "página no encontrada", "acceso denegado", "error interno del servidor", "scripts desactivados", "страница не найдена", "доступ запрещ", "внутренняя ошибка сервера", "見つかりません", "サーバーエラー", "पृष्ठ नहीं मिला", "जावास्क्रिप्ट",
-    "your headline here", "your text here", "sample text", "placeholder text", "placeholder paragraph", "blindtext", "texte d’exemple", "texte de remplissage", "texto de relleno", "texto de prueba", "content to be added", "another blank site",
-]
-SIGNS = re.compile("|".join(map(re.escape, SIGN_PHRASES)))
+#: What a server itself says: the reason phrases of HTTP errors, and the name of the scripts that a notice asks for.
+SIGNS = re.compile("|".join(re.escape(x) for x in sorted({x.phrase.lower() for x in HTTPStatus if x >= 400 and " " in x.phrase} | {"javascript"})))
 
 _SLOTS = [(name, re.compile(p)) for name, p in SLOTS.items()]
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -83,6 +76,11 @@ def key_of(line: str) -> str:
     return key
 
 
+def digest(text: str) -> bytes:
+    """128 bits that stand for a text."""
+    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
+
+
 def is_filler(words: list[str]) -> bool:
     """Nearly all words are of the filler text, or all are markers."""
     if not words:
@@ -106,13 +104,13 @@ def slots_of(line: str) -> tuple[str, list[str]]:
 
 
 def examine(url: str | None, text: str | None) -> dict:
-    """Lines of a page: keys of short ones, slot lines, filler, and whether a long line holds content."""
-    out = {"keys": [], "spoken": [], "skeletons": [], "styles": [], "outside": [], "filler": False, "sign": False, "long": False, "echoes": []}
+    """Lines of a page: their keys in order and what they may be, slot lines, filler, and which lines name the address slug."""
+    out = {"keys": [], "spoken": [], "longs": [], "skeletons": [], "styles": [], "outside": [], "filler": False, "sign": False, "long": False, "echoes": []}
     lines = [x.strip() for x in (text or "").split("\n")]
     lines = [x for x in lines if x]
     slug = set(w for w in _LETTERS.findall(_SLUG.match(url or "")[1].lower()) if len(w) >= 4)
-    foot = len(lines)  # a title just above a message is no footer
-    while foot > max(1, len(lines) - 2) and lines[foot - 1][-1] not in ".!?。।…" and not SIGNS.search(lines[foot - 1].lower()):
+    foot = len(lines)
+    while foot > max(1, len(lines) - 2) and lines[foot - 1][-1] not in ".!?。।…":
         foot -= 1
     for i, line in enumerate(lines):
         masked, styles = slots_of(line)
@@ -122,7 +120,7 @@ def examine(url: str | None, text: str | None) -> dict:
             if styles == ["empty_value"] and (masked.count("□") < 2 or len(words) >= PROSE_WORDS):
                 styles = []
             else:
-                out["skeletons"].append(zlib.crc32(" ".join(_LETTERS.findall(re.sub(r"\b[A-Z][a-z]+\b", "", masked)) + [str(masked.count("□"))]).lower().encode()))
+                out["skeletons"].append(digest(" ".join(_LETTERS.findall(re.sub(r"\b[A-Z][a-z]+\b", "", masked)) + [str(masked.count("□"))]).lower()))
                 out["styles"].append(",".join(styles))
                 out["outside"].append(len(words))
                 if len(words) < PROSE_WORDS:
@@ -132,26 +130,30 @@ def examine(url: str | None, text: str | None) -> dict:
         if is_filler(words):
             out["filler"] = True
             continue
-        if len(line) > LONG:
-            if len(set(line)) > 5:
-                out["long"] = True
+        key = key_of(line)
+        if not key:
             continue
-        sign = len(low) <= 120 and SIGNS.search(low) is not None
+        long = len(line) > LONG
+        if long:
+            if len(set(line)) <= 5:
+                continue
+            key = "\x02" + digest(key).hex()
+            out["long"] = True
+        sign = not long and SIGNS.search(low) is not None
         out["sign"] |= sign
-        key = key_of(line)
-        if key:
-            footer = i >= len(lines) - 2 and line[-1] not in ".!?。।…"
-            out["keys"].append(key)
-            out["spoken"].append(not footer and not sign and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
-            if i < foot and not sign and not slug.isdisjoint(words):
-                out["echoes"].append(key)
-    longest = sorted((k for k in set(out["keys"]) if len(k) >= MIRRORED), key=lambda k: (-len(k), k))[:3]
-    out["copy"] = zlib.crc32(("\n".join(longest) if len(longest) == 3 else text or "").encode("utf-8", "replace"))
+        footer = i >= len(lines) - 2 and line[-1] not in ".!?。।…"
+        out["keys"].append(key)
+        out["longs"].append(long)
+        out["spoken"].append(long or not footer and not sign and (len(words) >= 3 or not line.isascii() and len(line) >= 8))
+        if i < foot and not sign and not slug.isdisjoint(words):
+            out["echoes"].append(key)
+    longest = sorted((k for k in set(out["keys"]) if len(k) >= MIRRORED or k[0] == "\x02"), key=lambda k: (k[0] != "\x02", -len(k), k))[:3]
+    out["copy"] = digest("\n".join(longest) if len(longest) == 3 else text or "")
     return out
 
 
-_FIELDS = [("keys", pa.list_(pa.string())), ("spoken", pa.list_(pa.bool_())), ("skeletons", pa.list_(pa.int64())), ("styles", pa.list_(pa.string())), ("outside", pa.list_(pa.int32())), ("filler", pa.bool_()), ("sign", pa.bool_()), ("long", pa.bool_()), ("echoes", pa.list_(pa.string()))]
-_SCHEMA = "keys array<string>, spoken array<boolean>, skeletons array<bigint>, styles array<string>, outside array<int>, filler boolean, sign boolean, long boolean, echoes array<string>"
+_FIELDS = [("keys", pa.list_(pa.string())), ("spoken", pa.list_(pa.bool_())), ("longs", pa.list_(pa.bool_())), ("skeletons", pa.list_(pa.binary())), ("styles", pa.list_(pa.string())), ("outside", pa.list_(pa.int32())), ("filler", pa.bool_()), ("sign", pa.bool_()), ("echoes", pa.list_(pa.string()))]
+_SCHEMA = "keys array<string>, spoken array<boolean>, longs array<boolean>, skeletons array<binary>, styles array<string>, outside array<int>, filler boolean, sign boolean, echoes array<string>"
 
 
 def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "url", host: str = "host") -> DataFrame:
@@ -164,10 +166,11 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     Empty responses: title, address slug and body are set against what other hosts say. A line is a page's own
     if it stands in a few distinct texts at most, or always between the same lines (mirrors of one story); the
     first of a page's own lines is its title. A page has content if it has
-    more than a title of its own, a line of its own after a message, a long line, or names its address slug (without
-    query and fragment) in a line that is no message, filler, menu or footer. A line that many
-    hosts share is a message if most pages with it have no content; filler is told by its words, messages
-    too rare to judge by their wording. A page without content that says a message or filler is empty.
+    more than a title of its own, a line of its own after a message, a long line of its own, or names its address slug (without
+    query and fragment) in a line of its own that is no filler, menu or footer. Where slug and title don't fit the body, a line that many
+    hosts share is a message if most pages with it have no content. So is a line that a few pages of several hosts share,
+    whose titles and own lines beside it all differ, if none of these has content. Filler is told by its words, and a line too rare for
+    all this by a server's own reason phrase. A page without content that says a message or filler is empty.
 
     Copies count once: equal texts, and pages that agree in their three longest lines. Null and blank texts are no case; a null host
     or url is a host or url of its own. Keys that occur twice come out once. An empty input gives no rows.
@@ -178,11 +181,11 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
         for b in batches:
             got = [examine(u, t) for u, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             arrays = [pa.array([g[n] for g in got], k) for n, k in _FIELDS]
-            copy = pa.array([g["copy"] for g in got], pa.int64())
+            copy = pa.array([g["copy"] for g in got], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), copy, *arrays], names=["id", "host", "copy", *[n for n, _ in _FIELDS]])
 
     kind = df.schema[key].dataType.simpleString()
-    pages = durable(rows.mapInArrow(run, f"id {kind}, host string, copy bigint, {_SCHEMA}").withColumn("page", F.monotonically_increasing_id()))
+    pages = durable(rows.mapInArrow(run, f"id {kind}, host string, copy binary, {_SCHEMA}").withColumn("page", F.monotonically_increasing_id()))
 
     skeletons = pages.select("id", F.explode(F.arrays_zip("skeletons", "styles", "outside")).alias("s")).select("id", "s.*")
     template = skeletons.groupBy("skeletons").agg(F.size(F.collect_set("styles")).alias("n_styles"))
@@ -190,10 +193,10 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     varied = skeletons.where(F.col("outside") >= PROSE_WORDS).join(template.where("n_styles >= 3").select("skeletons"), "skeletons", "left_semi").select("id")
     slots = short.unionAll(varied).distinct().withColumn("reason", F.lit("slots"))
 
-    one = pages.where("size(keys) > 0").groupBy("copy", "host").agg(F.first(F.struct("keys", "spoken")).alias("p"))
+    one = pages.where("size(keys) > 0").groupBy("copy", "host").agg(F.first(F.struct("keys", "spoken", "longs")).alias("p"))
     around = [F.xxhash64(F.coalesce(F.expr(f"get(p.keys, pos {step} 1)"), F.lit(""))).alias(name) for step, name in (("-", "before"), ("+", "after"))]
-    lines = one.select("copy", "host", "p", F.posexplode(F.arrays_zip("p.keys", "p.spoken")).alias("pos", "x")).select("copy", "host", F.xxhash64("x.keys").alias("k"), "pos", F.col("x.spoken").alias("spoken"), *around)
-    lines = durable(lines.groupBy("copy", "host", "k").agg(F.min(F.struct("pos", "before", "after")).alias("at"), F.max("spoken").alias("spoken")).select("copy", "host", "k", "at.*", "spoken"))
+    lines = one.select("copy", "host", "p", F.posexplode(F.arrays_zip("p.keys", "p.spoken", "p.longs")).alias("pos", "x")).select("copy", "host", F.xxhash64("x.keys").alias("k"), "pos", F.col("x.spoken").alias("spoken"), F.col("x.longs").alias("long"), *around)
+    lines = durable(lines.groupBy("copy", "host", "k").agg(F.min(F.struct("pos", "before", "after")).alias("at"), F.max("spoken").alias("spoken"), F.max("long").alias("long")).select("copy", "host", "k", "at.*", "spoken", "long"))
     texts = lines.groupBy("k", "copy").agg(F.max("spoken").alias("spoken"), F.min("pos").alias("pos"))
     distinct = lambda c, name: lines.select("k", c).distinct().groupBy("k").agg(F.count("*").alias(name))
     edge = F.xxhash64(F.lit(""))
@@ -203,23 +206,32 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "
     # At the edge of a page nothing is told by a missing neighbour; a line of one or two hosts is their menu, not a mirrored story.
     story = (~F.col("first") & (F.col("befores") < COMPANY)) | (~F.col("last") & (F.col("afters") < COMPANY))
     theirs = (F.col("texts") <= OWN) | (story & (F.col("hosts") >= HOSTS))
-    own_lines = durable(lines.where("spoken").join(by_key.where(theirs).select("k"), "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos")))
-    own = own_lines.groupBy("copy").agg(F.count("*").alias("own"))
-    # The slug counts for the page that bears it, not for its copies; what isn't theirs is a message, a menu or a footer.
-    thin = pages.where("not long").join(own, "copy", "left").where("coalesce(own, 0) < 2")
-    echo = thin.select("page", F.explode(F.array_distinct("echoes")).alias("k")).select("page", F.xxhash64("k").alias("k")).join(by_key.where(~theirs).select("k"), "k", "left_anti")
+    seldom = durable(by_key.where(theirs & ~story & (F.col("texts") > 1) & (F.col("hosts") > 1)).select("k"))
+    mirrored = None
+    for side in ("before", "after"):  # copies of a story agree in a line of its own beside it, too
+        beside = lines.join(seldom, "k", "left_semi").select("copy", "k", side).distinct().groupBy("k", side).count().where("count > 1")
+        beside = beside.join(by_key.where(theirs).select(F.col("k").alias(side)), side, "left_semi").select("k")
+        mirrored = beside if mirrored is None else mirrored.unionByName(beside)
+    roaming = durable(seldom.join(mirrored, "k", "left_anti"))
+    theirs_keys = durable(by_key.where(theirs).select("k").join(roaming, "k", "left_anti"))
+    common = by_key.where(~theirs & (F.col("hosts") >= HOSTS) & (F.col("texts") >= TEXTS)).select("k", F.lit(SHARE).alias("least")).unionByName(roaming.withColumn("least", F.lit(1.0)))
+
+    # A long line counts as two. The slug counts for the page that bears it, not for its copies, and only in lines of its own.
+    own_lines = durable(lines.where("spoken").join(theirs_keys, "k", "left_semi").groupBy("copy", "k").agg(F.min("pos").alias("pos"), F.max("long").alias("long")))
+    own = own_lines.groupBy("copy").agg(F.sum(F.when(F.col("long"), 2).otherwise(1)).alias("own"))
+    thin = pages.join(own, "copy", "left").where("coalesce(own, 0) < 2")
+    echo = thin.select("page", F.explode(F.array_distinct("echoes")).alias("k")).select("page", F.xxhash64("k").alias("k")).join(theirs_keys, "k", "left_semi")
     bare = durable(thin.select("page", "id", "copy", "filler", "sign").join(echo.select("page").distinct(), "page", "left_anti"))
-    bare_copies = bare.groupBy("copy").agg(F.count("*").alias("bare"))
-    share = pages.groupBy("copy").agg(F.count("*").alias("pages")).join(bare_copies, "copy").select("copy", (F.col("bare") / F.col("pages")).alias("bare"))
-
+    counts = bare.groupBy("copy").agg(F.count("*").alias("bare"))
+    share = pages.groupBy("copy").agg(F.count("*").alias("pages")).join(counts, "copy").select("copy", (F.col("bare") / F.col("pages")).alias("bare"))
     told = texts.join(share, "copy", "left").groupBy("k").agg(F.count("*").alias("n"), F.sum(F.coalesce("bare", F.lit(0.0))).alias("bare"))
-    common = by_key.where(~theirs & (F.col("hosts") >= HOSTS) & (F.col("texts") >= TEXTS)).select("k")
-    message = durable(told.where(F.col("bare") >= SHARE * F.col("n")).join(common, "k", "left_semi").select("k"))
+    message = durable(told.join(common, "k").where("bare >= least * n").select("k"))
     if message.count() <= MOST_BROADCAST:
         message = F.broadcast(message)
+    bare_copies = bare.select("copy").distinct()
     says = durable(lines.join(message, "k", "left_semi").join(bare_copies, "copy", "left_semi").groupBy("copy").agg(F.min("pos").alias("first")))
     goes_on = own_lines.join(says, "copy").where("pos > first").select("copy").distinct()
-    state = bare_copies.select("copy").join(goes_on, "copy", "left_anti").join(says.select("copy", F.lit(True).alias("says")), "copy", "left")
+    state = bare_copies.join(goes_on, "copy", "left_anti").join(says.select("copy", F.lit(True).alias("says")), "copy", "left")
     empty = bare.join(state, "copy").where("says or filler or sign").select("id").distinct().withColumn("reason", F.lit("empty"))
     both = slots.unionByName(empty.join(slots.select("id"), "id", "left_anti"))
     return both.select(F.col("id").alias(key), "reason")

@@ -91,3 +91,16 @@ def test_one_page_of_a_copy_bears_the_slug(spark):
     docs = corpus() + [(700, "http://n/kilorin", "n", text, "x"), (701, "http://n/other", "n", text, "x")]
     got = {r["doc_id"] for r in residue(spark.createDataFrame(docs, DOC)).collect()}
     assert 701 in got and 700 not in got
+
+
+def test_long_messages_and_slugs_in_them(spark):
+    """A sentence of 251 characters is a message like any other, and a slug that names its words doesn't make it content."""
+    long = ("The page could not be found on this server, it may have been moved, renamed or deleted by its owner, " * 3)[:250] + "."
+    docs = corpus() + [(800 + i, f"http://q{i}.example/page-found", f"q{i}", f"{'bcdfghjklmnpqrstvwxz'[i % 20] * 3}{'aeiou'[i // 20]}\n{long}", "x") for i in range(40)]
+    docs += [(900, "http://own.example/x", "own", "The story of the kiln, told at length " * 9 + ", ends with rain in the valley of Ormel.", "x")]
+    got = {r["doc_id"] for r in residue(spark.createDataFrame(docs, DOC)).collect()}
+    assert {800 + i for i in range(40)} <= got and 900 not in got
+
+
+def test_pages_are_told_apart_by_128_bits():
+    assert len(examine("u", "a")["copy"]) == 16 and examine("u", "a")["copy"] != examine("u", "b")["copy"]
