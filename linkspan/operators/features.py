@@ -114,9 +114,8 @@ def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False)).cast("float")
 
 
-def _sets(x: Column, y: Column) -> dict[str, Column]:
-    """Comparisons of two sets of words; 0 where one is empty."""
-    nx, ny, shared = F.size(x), F.size(y), F.size(F.array_intersect(x, y))
+def _sets(nx: Column, ny: Column, shared: Column) -> dict[str, Column]:
+    """Comparisons of two sets of words by their sizes and what they share; 0 where one is empty."""
     held = lambda v: F.when((nx > 0) & (ny > 0), v).otherwise(F.lit(0.0)).cast("float")
     return {
         "jaccard": held(shared / (nx + ny - shared)), "overlap": held(shared / F.least(nx, ny)), "shared": held(shared),
@@ -134,21 +133,24 @@ def pair_features(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> Dat
     x = pairs.join(left, pairs["source1_entity_id"] == left["l_id"], "left").join(right, pairs["candidate_entity_id"] == right["r_id"], "left")
     defaults = {"boolean": F.lit(False), "array<bigint>": F.array().cast("array<bigint>"), "int": F.lit(0), "string": F.lit("")}
     x = x.withColumns({c: F.coalesce(c, defaults[k]) for c, k in x.dtypes if c[:2] in ("l_", "r_") and k in defaults})
+    # What several features need is worked out once, in a step of its own.
+    common = lambda c: F.size(F.array_intersect(f"l_{c}", f"r_{c}")).alias(f"both_{c}")
+    x = x.select("*", *[common(c) for c in ("n_set", "a_set", "n_grams", "n_business", "a_numbers", "a_postal")])
     l, r = (lambda c: F.col(f"l_{c}")), (lambda c: F.col(f"r_{c}"))
     named, placed = l("n_has") & r("n_has"), l("a_has") & r("a_has")
     spelled = named & (l("n_alnum") != "") & (r("n_alnum") != "")
     when = lambda cond, v: F.when(cond, v).otherwise(F.lit(0.0)).cast("float")
     same = lambda c: l(c) == r(c)
-    words, address = _sets(l("n_set"), r("n_set")), _sets(l("a_set"), r("a_set"))
-    shared_grams = F.size(F.array_intersect(l("n_grams"), r("n_grams")))
+    words, address = (_sets(F.size(l(c)), F.size(r(c)), F.col(f"both_{c}")) for c in ("n_set", "a_set"))
+    shared_grams = F.col("both_n_grams")
     grams = shared_grams / (F.size(l("n_grams")) + F.size(r("n_grams")) - shared_grams)
     differ = spelled & (l("n_alnum") != r("n_alnum"))
     winkler = F.coalesce(jaro_winkler(F.when(differ, l("n_alnum")), F.when(differ, r("n_alnum"))), F.lit(1.0))
     lengths = F.length(l("n_alnum")), F.length(r("n_alnum"))
     form_l, form_r, native_l, native_r = l("n_has_form"), r("n_has_form"), l("n_native"), r("n_native")
-    shared_numbers = F.size(F.array_intersect(l("a_numbers"), r("a_numbers")))
+    shared_numbers = F.col("both_a_numbers")
     both_postal = (F.size(l("a_postal")) > 0) & (F.size(r("a_postal")) > 0)
-    shared_postal = F.size(F.array_intersect(l("a_postal"), r("a_postal"))) > 0
+    shared_postal = F.col("both_a_postal") > 0
     out = {
         "country_exact_match": _flag(same("country")),
         "country_missing_either": _flag(l("country").isNull() | r("country").isNull()),
@@ -171,7 +173,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> Dat
         "name_last_token_match": when(named, _flag(same("n_last"))),
         "legal_suffix_agreement": when(named, _flag((~form_l & ~form_r) | (form_l & form_r & same("n_form")))),
         "legal_suffix_mismatch": when(named, _flag(form_l & form_r & ~same("n_form"))),
-        "business_word_overlap_count": when(named, F.size(F.array_intersect(l("n_business"), r("n_business")))),
+        "business_word_overlap_count": when(named, F.col("both_n_business")),
         "name_both_latin": when(named, _flag(~native_l & ~native_r)),
         "name_cross_script": when(named, _flag(native_l != native_r)),
         "name_has_non_ascii": when(named, _flag(l("n_beyond_ascii") | r("n_beyond_ascii"))),
