@@ -72,3 +72,14 @@ def test_normal_forms(spark):
 def test_normalise_records(spark):
     got = N.normalise_records(spark.createDataFrame([("S1-1", None, None, None), ("x", "Foo", "1 Rd", " X ")], "entity_id string, business_name string, business_address string, country string")).orderBy("entity_id").collect()
     assert [(r["source_prefix"], r["country"], r["name"]["is_missing"], r["address"]["standardized"]) for r in got] == [("S1", "", True, ""), ("UNKNOWN", "X", False, "1 road")]
+
+
+def test_normal_forms_are_worked_out_once(spark):
+    rows = spark.createDataFrame([("S1-1", "Foo Pvt Ltd", "1 Rd", "X")], "entity_id string, business_name string, business_address string, country string")
+    plan = N.normalise_records(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 80 and plan.count("pythonUDF") < 10  # 471 and 74 where each step is inlined into all later ones
+
+
+def test_script_counts_letters_in_the_first_of_equals(spark):
+    texts = {"शर": "devanagari", "शab": "latin", "தश": "devanagari", "தa": "tamil", "ગ ગa": "gujarati", "ব1": "bengali", "12": "latin", "東": "latin", "": "empty"}
+    assert {x: col(spark, x, T.script) for x in texts} == texts and col(spark, None, T.script) == "empty"
