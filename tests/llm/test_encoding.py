@@ -68,3 +68,12 @@ def test_sources_have_priors_of_their_own(spark):
     good = [(f"g{i}", w, s) for i, w in enumerate(WORDS * 10) for s in ("a", None)]
     got = repairs(spark.createDataFrame([*good, ("b", "CafÃ© Ã", "a")], "entity_id string, business_name string, src string"), "entity_id", ["business_name"], "src").collect()
     assert [r["entity_id"] for r in got] == ["b"]
+
+
+def test_unread_looks_only_where_a_run_can_begin():
+    from linkspan.llm.encoding import _choices
+
+    looked = lambda: sum(_choices.cache_info()[:2])
+    before = looked()
+    assert unread("Générale Île", "cp1252") == "Générale Île" and looked() == before
+    assert unread("Café Ã©té Ã\u00a0 é", "cp1252") == "Café été à é" and looked() > before
